@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, warc
+from . import decontamination, jaccard, packing, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,13 +28,36 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def _lower(text: str) -> str:
+    """SQL that lower-cases A-Z only."""
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+_WORDS4 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_warc": op3_warc,
+    "op4_decontamination": op4_decontamination,
+    "op6_jaccard": op6_jaccard,
     "op8_packing": op8_packing,
 }
 
@@ -57,4 +80,30 @@ SQL: dict[str, str] = {
                CASE WHEN n < {warc.REVISIT_BYTES} OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id <> first THEN first END AS refers_to, true AS verified
         FROM d JOIN m ON d.h = m.h""",
+    "op4_decontamination": f"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_WORDS4}') AS w FROM documents),
+        iw AS (SELECT item_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_WORDS4}') AS w FROM benchmark),
+        ph AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+               FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                     FROM (SELECT item_id, w, least(len(w), {decontamination.WINDOW}) AS k FROM iw WHERE len(w) > 0))),
+        ks AS (SELECT DISTINCT k FROM ph),
+        oat AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase
+               FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, ks WHERE len(w) >= k)),
+        oc AS (SELECT doc_id, item_id, i, oat.k FROM oat JOIN ph ON oat.k = ph.k AND oat.phrase = ph.phrase),
+        hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM oc) GROUP BY 1),
+        it AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+               FROM (SELECT DISTINCT doc_id, item_id FROM oc) GROUP BY 1)
+        SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op6_jaccard": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_lower("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), {jaccard.SHINGLE_WORDS}) - 1], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {jaccard.SHINGLE_WORDS}, 0) + 2)) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= {jaccard.LEAST_PERCENT} * (x.n + y.n - i)),
+        r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+        SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, t.root AS component_id
+        FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY 1) t USING (doc_id)""",
 }
