@@ -9,7 +9,9 @@ among the pieces of its length, so no task ever holds more than its own rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Words kept with their ids in a Python worker; beyond it the table starts afresh, which changes no result.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 1_200_000
 
 PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, place bigint"
@@ -38,6 +40,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+# fixed values: the pre-tokenizer's pattern for texts of PLAIN characters alone, where ``re`` can say its classes
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", " \t\n\r"
+PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
+PLAIN_WORDS = re.compile(rf" ?[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+
+
 class WordIds(dict):
     """Token ids, as little-endian bytes, of the stretches that the vocabulary's pre-tokenizer cuts text into."""
 
@@ -52,7 +60,7 @@ class WordIds(dict):
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: str) -> bytes:
-        found = np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        found = array("I", self.model.encode(word, add_special_tokens=False).ids).tobytes()
         self[word] = found
         return found
 
@@ -62,7 +70,8 @@ class WordIds(dict):
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) > KNOWN_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, self.words(text)))
+        words = PLAIN_WORDS.findall if PLAIN.fullmatch(text) else self.words
+        return b"".join(map(self.__getitem__, words(text)))
 
 
 _MODELS: dict[str, WordIds] = {}
