@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, packing, sharding, warc
+from . import decontamination, jaccard, language, packing, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +42,24 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = (language.fold_of(F.col("doc_id")) == 0).alias("held_out")
+    return toxicity.score(docs, machine).select("doc_id", held_out, "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    held_out = (language.fold_of(F.col("doc_id")) == 0).alias("held_out")
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def _lower(text: str) -> str:
     """SQL that lower-cases A-Z only."""
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -58,7 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
     "op6_jaccard": op6_jaccard,
+    "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op10_language": op10_language,
 }
 
 SQL: dict[str, str] = {
