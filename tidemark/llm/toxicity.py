@@ -251,7 +251,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """
     known = labels.where(F.col(label).isin(0, 1) & (fold_of(F.col(key)) != 0)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
     chosen = sampled(known, "toxic", key, most)
-    rows = staged(docs.select(key, text).where(F.col(text).isNotNull()).join(chosen, key).select(text, "toxic"), "labelled")
+    # near copies share the least hash of a word, and would make chance words of one text look typical
+    least = F.array_min(F.transform(F.split(text, " "), lambda w: F.xxhash64(w)))
+    rows = docs.select(key, text).where(F.col(text).isNotNull()).join(chosen, key).select(text, "toxic").dropDuplicates([text])
+    rows = staged(rows.withColumn("least", least).dropDuplicates(["least", "toxic"]).select(text, "toxic"), "labelled")
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     quiet = Machine(np.zeros(SYMBOLS**3, np.float32))
     if len(size) < 2:
@@ -263,7 +266,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     runs = [r["word"] for r in marking.orderBy(F.desc("t"), "word").limit(POSITIVE_WORDS).collect()]
     words = staged(_distinct(rows, text), "words")
     has = F.arrays_overlap(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - RUN_LETTERS + 1, F.lit(1))), lambda i: F.substring("word", i, F.lit(RUN_LETTERS))), F.array(*map(F.lit, runs)).cast("array<string>"))
-    marks = words.where(has & (F.col("t") > 9 * F.col("c"))).orderBy(F.desc("t"), "word").limit(POSITIVE_WORDS)
+    holders = words.where(has & (F.col("t") > 0))
+    marks = holders.where((F.col("t") / n > 0.9) & (chance > float(np.log(holders.count() + 1) + SURPRISE))).orderBy(F.desc("t"), "word").limit(POSITIVE_WORDS)
     positive = [r["word"] for r in marks.collect()]
     clean = words.where((F.col("c") > 0) & ~has)
     negative = [r["word"] for r in clean.orderBy(F.xxhash64("word")).limit(NEGATIVE_WORDS).collect()]
