@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, language, packing, sharding, toxicity, warc
+from . import decontamination, jaccard, language, packing, privacy, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(n(kind).alias(f"n_{kind}") for kind in privacy.KINDS[:4]),
+        F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.train(docs)
@@ -74,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard": op6_jaccard,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_privacy": op9_privacy,
     "op10_language": op10_language,
 }
 
