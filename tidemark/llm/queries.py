@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, language, packing, privacy, sharding, toxicity, warc
+from . import decontamination, embeddings, jaccard, language, packing, privacy, sharding, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("size"))
     return sharding.shard(docs, F.col("size")).select("doc_id", "row_bytes", "local_depth", "shard")
@@ -79,6 +83,7 @@ def _lower(text: str) -> str:
 _WORDS4 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_sharding": op2_sharding,
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
@@ -90,6 +95,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_embeddings": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings),
+        s AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= {embeddings.LEAST_COSINE}),
+        r AS (SELECT vec_id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id),
+        c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY 1),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+        SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+        FROM v JOIN c USING (vec_id) LEFT JOIN n ON n.a = v.vec_id""",
     "op2_sharding": f"""
         WITH h AS (SELECT doc_id, coalesce(strlen(text), 0) AS row_bytes,
                           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key_hash FROM documents),
