@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embeddings, jaccard, language, packing, privacy, sharding, toxicity, warc
+from . import decontamination, embeddings, jaccard, language, packing, privacy, sharding, suffixes, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
+    "op5_suffixes": op5_suffixes,
     "op6_jaccard": op6_jaccard,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
