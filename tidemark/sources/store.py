@@ -1,0 +1,69 @@
+"""Tables that only grow, and tables with one row per key, as versioned Parquet folders.
+
+A version is a folder of its own, named by a number; the newest one with a success mark is the table. Writers make
+the next version from the one they read, and refuse if another writer was faster.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+class Conflict(ValueError):
+    """A write that contradicts what is there."""
+
+
+class VersionedTable:
+    """One table below a path that Hadoop can reach."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def version(self) -> int:
+        """The newest complete version, 0 before the first."""
+        if not self._fs.exists(self._path(self.path)):
+            return 0
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
+        done = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))]
+        return max(done, default=0)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        v = self.version() if version is None else version
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v}") if v else self.spark.createDataFrame([], self.schema)
+
+    def commit(self, rows: DataFrame, base: int, partition_by: tuple[str, ...] = ()) -> int:
+        """Write the version after ``base``; another writer that was there first makes it fail."""
+        target = f"{self.path}/v{base + 1}"
+        if self.version() != base or self._fs.exists(self._path(target)):
+            raise Conflict("the table has changed since it was read")
+        rows.write.partitionBy(*partition_by).mode("error").parquet(target)
+        return base + 1
+
+    def append(self, rows: DataFrame, key: str, ignoring: tuple[str, ...] = ()) -> int:
+        """Add rows with new keys; equal rows are there already, different ones with a known key are a conflict.
+
+        Columns in ``ignoring`` (when something was seen) don't make rows differ.
+        """
+        base = self.version()
+        now = self.read(base)
+        body = F.sha2(F.to_json(F.struct(*sorted(c for c in now.columns if c not in ignoring))), 256)
+        mine = rows.select(*now.columns).withColumn("_body", body)
+        if not mine.groupBy(key).agg(F.count_distinct("_body").alias("n")).where("n > 1").isEmpty():
+            raise Conflict("rows of one key differ")
+        known = now.select(F.col(key), body.alias("_known"))
+        if not mine.join(known, key).where("_body <> _known").isEmpty():
+            raise Conflict("a key is there with another content")
+        fresh = mine.join(known, key, "left_anti").dropDuplicates([key]).drop("_body")
+        return base if fresh.isEmpty() else self.commit(now.unionByName(fresh), base)
+
+    def merge(self, rows: DataFrame, key: str, deleted: str | None = None) -> int:
+        """Replace rows by key, and drop the keys whose ``deleted`` column is true; a key twice is a conflict."""
+        base = self.version()
+        now = self.read(base)
+        if not rows.groupBy(key).count().where("count > 1").isEmpty():
+            raise Conflict("a key is written twice")
+        kept = rows.where(~F.coalesce(F.col(deleted), F.lit(False))) if deleted else rows
+        return self.commit(now.join(rows.select(key), key, "left_anti").unionByName(kept.select(*now.columns)), base)
