@@ -13,16 +13,16 @@ def counters(df: DataFrame, by: list[Column], conditions: dict[str, Column]) ->
     return df.groupBy(*by).agg(F.count("*").alias("seen"), *(F.count_if(c).alias(k) for k, c in conditions.items()))
 
 
-def broken_invariants(df: DataFrame, checks: dict[str, Column]) -> Column:
-    """Names of the checks a row of counters fails."""
-    return F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in checks.items())))
+def broken_invariants(df: DataFrame, checks: dict[str, str]) -> Column:
+    """Names of the checks (SQL conditions) a row of counters fails."""
+    return F.array_compact(F.array(*(F.when(~F.coalesce(F.expr(c), F.lit(False)), F.lit(k)) for k, c in checks.items())))
 
 
 MANIFEST_CHECKS = {
-    "seen": F.expr("seen = included + excluded"),
-    "privacy": F.expr("included = privacy_allowed + privacy_held"),
-    "publication": F.expr("privacy_allowed = approved + held"),
-    "operations": F.expr("approved = created + updated + unchanged"),
+    "seen": "seen = included + excluded",
+    "privacy": "included = privacy_allowed + privacy_held",
+    "publication": "privacy_allowed = approved + held",
+    "operations": "approved = created + updated + unchanged",
 }
 
 

@@ -18,7 +18,7 @@ def corpus(df: DataFrame, key: str, texts: dict[str, tuple[Column, int]]) -> Dat
     return df.select(key, F.explode(first).alias("x")).select(key, "x.label", "x.text", "x.weight")
 
 
-def postings(docs: DataFrame, key: str, text: Column, weight: Column = F.lit(1), folded: bool = False) -> DataFrame:
+def postings(docs: DataFrame, key: str, text: Column, weight: Column | None = None, folded: bool = False) -> DataFrame:
     """term, key and the term's weight in the document."""
     plain = fold(text) if folded else F.lower(text)
     terms = docs.select(key, F.explode(F.regexp_extract_all(plain, F.lit(WORDS), F.lit(1))).alias("term"), weight.alias("w"))
