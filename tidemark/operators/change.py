@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .identity import content_hash, event_id
+from .staging import staged
 
 
 @dataclass(frozen=True)
@@ -118,9 +119,13 @@ def broken_links(events: DataFrame, key: str, order: list[str], previous: str, c
 
 def reachable(edges: DataFrame, start: str, stop: str, roots: DataFrame, root: str, depth: int) -> DataFrame:
     """node and steps (the fewest) of what ``roots`` reach in at most ``depth`` steps; cycles are no trouble."""
-    links = edges.select(F.col(start).alias("a"), F.col(stop).alias("b")).distinct()
-    found = roots.select(F.col(root).alias("node"), F.lit(0).alias("steps")).distinct()
+    links = staged(edges.select(F.col(start).alias("a"), F.col(stop).alias("b")).distinct(), "links")
+    new = staged(roots.select(F.col(root).alias("node"), F.lit(0).alias("steps")).distinct(), "reached")
+    found = new
     for k in range(1, depth + 1):
-        new = found.where(F.col("steps") == k - 1).join(links, F.col("node") == F.col("a")).select(F.col("b").alias("node"), F.lit(k).alias("steps")).distinct()
-        found = found.union(new.join(found.select("node"), "node", "left_anti"))
+        further = new.join(links, F.col("node") == F.col("a")).select(F.col("b").alias("node"), F.lit(k).alias("steps")).distinct()
+        new = staged(further.join(found.select("node"), "node", "left_anti"), "reached")
+        if new.isEmpty():
+            break
+        found = found.union(new)
     return found

@@ -15,7 +15,7 @@ def dictionary_match(texts: DataFrame, key: str, text: Column, names: DataFrame,
     """key, code and n (how often) for every name that stands in a text as whole words; names are small letters.
 
     A dictionary of up to MOST_NAMES names becomes one pattern, longest names first, so texts are read once and
-    only hits are joined. A larger one meets the texts' word runs by hash.
+    only hits are joined. A larger one meets the texts' word runs by hash, and then names inside longer ones count too.
     """
     found = names.select(F.col(code).alias("code"), F.lower(name).alias("name")).where("name <> ''").distinct()
     small = found.limit(MOST_NAMES + 1).collect()
@@ -30,7 +30,7 @@ def dictionary_match(texts: DataFrame, key: str, text: Column, names: DataFrame,
         longest = found.agg(F.max(F.size(F.split("name", " ")))).first()[0]
         split = words.select(key, F.regexp_extract_all("t", F.lit(r"(?U)(\w+)"), F.lit(1)).alias("w"))
         at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1))))
-        runs = split.select(key, "w", at.alias("i")).select(key, F.explode(F.array(*(F.array_join(F.slice("w", F.col("i"), k), " ") for k in range(1, longest + 1)))).alias("name"))
+        runs = split.select(key, "w", at.alias("i")).select(key, F.explode(F.array(*(F.when(F.col("i") + k - 1 <= F.size("w"), F.array_join(F.slice("w", F.col("i"), k), " ")) for k in range(1, longest + 1)))).alias("name"))
         hits = runs.join(found.select("name").distinct(), "name", "left_semi")
     return hits.groupBy(key, "name").agg(F.count("*").alias("n")).join(F.broadcast(found) if len(small) <= MOST_NAMES else found, "name").groupBy(key, "code").agg(F.sum("n").alias("n"))
 
