@@ -251,8 +251,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """
     known = labels.where(F.col(label).isin(0, 1) & (fold_of(F.col(key)) != 0)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
     chosen = sampled(known, "toxic", key, most)
-    # near copies share the least hash of a word, and would make chance words of one text look typical
-    least = F.array_min(F.transform(F.split(text, " "), lambda w: F.xxhash64(w)))
+    # near copies mostly share the least hashes of long words, and would make chance words of one text look typical
+    long = F.transform(F.filter(F.split(text, " "), lambda w: F.length(w) >= 8), lambda w: F.xxhash64(w))
+    least = F.when(F.size(long) > 1, F.slice(F.array_sort(F.array_distinct(long)), 1, 2)).otherwise(F.array(F.xxhash64(text)))
     rows = docs.select(key, text).where(F.col(text).isNotNull()).join(chosen, key).select(text, "toxic").dropDuplicates([text])
     rows = staged(rows.withColumn("least", least).dropDuplicates(["least", "toxic"]).select(text, "toxic"), "labelled")
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
