@@ -21,7 +21,8 @@ def corpus(df: DataFrame, key: str, texts: dict[str, tuple[Column, int]]) -> Dat
 def postings(docs: DataFrame, key: str, text: Column, weight: Column | None = None, folded: bool = False) -> DataFrame:
     """term, key and the term's weight in the document."""
     plain = fold(text) if folded else F.lower(text)
-    terms = docs.select(key, F.explode(F.regexp_extract_all(plain, F.lit(WORDS), F.lit(1))).alias("term"), weight.alias("w"))
+    each = F.lit(1) if weight is None else weight
+    terms = docs.select(key, F.explode(F.regexp_extract_all(plain, F.lit(WORDS), F.lit(1))).alias("term"), each.alias("w"))
     return terms.groupBy("term", key).agg(F.sum("w").cast("long").alias("weight"))
 
 
