@@ -27,6 +27,8 @@ LEAST_PERCENT = 85
 COUNTERS = 1 << 21
 #: Hash ranges of the suffix filter.
 RANGES = 64
+#: Bits of the filter that tells which documents' whole sets a verification needs; fixed, and exact either way.
+SIEVE_BITS = 1 << 25
 _CHUNK = 1 << 16
 
 _WORD = np.ones(256, bool)
@@ -133,13 +135,53 @@ def _prefixes(docs: DataFrame, key: str, text: str, words: int, percent: int, to
     return docs.select(key, text).mapInArrow(scan, "node bigint, n bigint, prefix array<bigint>, shape array<int>")
 
 
-def _sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+def _sieve(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over whole numbers: bits set on the executors, put together by chunk."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
-            value, bounds = shingle_sets(batch.column(text), words)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(value.view(np.int64)))], names=["node", "shingles"])
+        bits = np.zeros(SIEVE_BITS // 8, np.uint8)
+        for batch in batches:
+            for at in _sieve_places(batch.column(0).to_numpy()):
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        for c in range(0, len(bits), _CHUNK):
+            if bits[c : c + _CHUNK].any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([bits[c : c + _CHUNK].tobytes()])], names=["chunk", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[c] = found.get(c, np.uint8(0)) | np.frombuffer(data, np.uint8)
+        for c, own in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "bits"])
+
+    out = np.zeros(SIEVE_BITS // 8, np.uint8)
+    chunks = ids.mapInArrow(scan, "chunk int, bits binary").repartition(16, "chunk").mapInArrow(unite, "chunk int, bits binary")
+    for r in chunks.toLocalIterator():  # the filter's size in all
+        own = np.frombuffer(r["bits"], np.uint8)
+        out[r["chunk"] : r["chunk"] + len(own)] = own
+    return out
+
+
+def _sieve_places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x51ED270B))
+    return (h % np.uint64(SIEVE_BITS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(SIEVE_BITS)).astype(np.int64)
+
+
+def _sets(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
+    """node and shingles of at least the documents in ``wanted``; the filter spares moving any text."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = broadcast.value
+        for batch in batches:
+            a, b = _sieve_places(batch.column(key).to_numpy())
+            chosen = batch.filter(pa.array((bits[a >> 3] >> (a & 7) & 1 & bits[b >> 3] >> (b & 7)).astype(bool)))
+            for own in steps(iter([chosen]), text):
+                value, bounds = shingle_sets(own.column(text), words)
+                yield pa.RecordBatch.from_arrays([own.column(key), pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(value.view(np.int64)))], names=["node", "shingles"])
 
-    return docs.select(key, text).mapInArrow(scan, "node bigint, shingles array<bigint>")
+    return docs.where(F.col(key).isNotNull()).select(key, text).mapInArrow(scan, "node bigint, shingles array<bigint>")
 
 
 def _enough(overlap: Column, percent: int) -> Column:
@@ -147,12 +189,14 @@ def _enough(overlap: Column, percent: int) -> Column:
     return (100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))
 
 
-def _verified(pairs: DataFrame, shapes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, shapes: DataFrame, leads: DataFrame, sets, percent: int) -> DataFrame:
     """The pairs (x, y, each once) that are similar enough: suffix filter first, then whole sets."""
     shape = lambda v: shapes.select(F.col("node").alias(v), F.col("n").alias(f"{v}_n"), F.col("shape").alias(f"{v}_shape"))
     bound = F.aggregate(F.zip_with("x_shape", "y_shape", lambda a, b: F.least(a, b)), F.lit(0), lambda s, v: s + v)
-    left = pairs.distinct().join(shape("x"), "x").join(shape("y"), "y").where(_enough(bound, percent)).select("x", "y", "x_n", "y_n")
-    whole = lambda v: sets.select(F.col("node").alias(v), F.col("shingles").alias(f"{v}_set"))
+    left = staged(pairs.distinct().join(shape("x"), "x").join(shape("y"), "y").where(_enough(bound, percent)).select("x", "y", "x_n", "y_n"), "pairs")
+    known = sets(left.select("x").union(left.select("y")).distinct()).join(leads, "node", "left_semi")
+    known = staged(known, "shingles")
+    whole = lambda v: known.select(F.col("node").alias(v), F.col("shingles").alias(f"{v}_set"))
     common = F.size(F.array_intersect("x_set", "y_set")).cast("long")
     return left.join(whole("x"), "x").join(whole("y"), "y").where(_enough(common, percent)).select("x", "y")
 
@@ -174,30 +218,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     prefixes = staged(_prefixes(docs, key, text, words, percent, totals).join(leads, "node", "left_semi"), "prefixes")
     shapes = prefixes.select("node", "n", "shape")
     grams = prefixes.select("node", "n", F.posexplode("prefix").alias("at", "gram"))
-    shared = grams.select("gram").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    shared = grams.select("gram").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
     band = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100) / 2 + 1e-9)).cast("int")
     grams = staged(grams.join(shared, "gram").withColumn("band", band), "grams")
-    some = grams.select(F.col("node").alias(key)).distinct()
-    sets = staged(_sets(docs.join(some, key, "left_semi"), key, text, words).join(leads, "node", "left_semi"), "shingles")
-
-    # one leading document for each n-gram and length band, and for each document the one it meets most often
-    heads = grams.groupBy("gram", "band").agg(F.min("node").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
-    met = grams.join(heads, ["gram", "band"]).where("node <> y").groupBy(F.col("node").alias("x"), "y").agg(F.count("*").alias("c"))
-    best = met.groupBy("x").agg(F.max(F.struct("c", F.negative("y").alias("y"))).alias("m")).select("x", F.negative("m.y").alias("y"))
-    links = staged(_verified(best, shapes, sets, percent), "links")
+    sets = lambda wanted: _sets(docs, key, text, words, wanted)
+
+    # for each n-gram and length band the document whose n-grams are met most, which is what copies were made from
+    met = grams.groupBy("node").agg(F.sum("c").alias("met"))
+    heads = grams.join(met, "node").groupBy("gram", "band").agg(F.max(F.struct("met", "node")).alias("head"), F.count("*").alias("k")).where("k > 1").select("gram", "band", F.col("head.node").alias("y"))
+    links = grams.join(heads, ["gram", "band"]).where("node <> y").groupBy(F.col("node").alias("x"), "y").agg(F.count("*").alias("k"))
+    best = links.groupBy("x").agg(F.max(F.struct("k", "y")).alias("m")).select("x", "m.y")
+    links = staged(_verified(best, shapes, leads, sets, percent), "links")
     parts = staged(components(links, "x", "y"), "parts")
 
     # then all pairs that share a prefix n-gram and are not yet in one component
     placed = staged(grams.join(parts, "node", "left").select("gram", "node", "n", "at", F.coalesce("component", "node").alias("part")), "placed")
-    here = placed.groupBy("gram", "part").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    here = placed.groupBy("gram", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("rest"))
     several = here.groupBy("gram").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("gram")
     here = here.join(several, "gram")
-    x_part, y_part = (here.select("gram", F.col("part").alias(f"{v}_part"), F.col("n_min").alias(f"{v}_min"), F.col("n_max").alias(f"{v}_max")) for v in "xy")
-    meet = x_part.join(y_part, "gram").where((F.col("x_part") < F.col("y_part")) & (100 * F.col("x_max") >= percent * F.col("y_min")) & (100 * F.col("y_max") >= percent * F.col("x_min"))).select("gram", "x_part", "y_part")
+    x_part, y_part = (here.select("gram", *(F.col(c).alias(f"{v}_{c}") for c in ("part", "least", "most", "rest"))) for v in "xy")
+    close = (100 * F.col("x_most") >= percent * F.col("y_least")) & (100 * F.col("y_most") >= percent * F.col("x_least"))
+    far_enough = (100 + percent) * F.least("x_rest", "y_rest") >= percent * (F.col("x_least") + F.col("y_least"))
+    meet = x_part.join(y_part, "gram").where((F.col("x_part") < F.col("y_part")) & close & far_enough).select("gram", "x_part", "y_part")
     side = lambda v: placed.select("gram", F.col("part").alias(f"{v}_part"), F.col("node").alias(v), F.col("n").alias(f"{v}_n"), F.col("at").alias(f"{v}_at"))
     pairs = meet.join(side("x"), ["gram", "x_part"]).join(side("y"), ["gram", "y_part"])
     pairs = pairs.where((100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")) & _enough(F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")), percent))
-    more = staged(_verified(pairs.select("x", "y"), shapes, sets, percent), "links")
+    more = staged(_verified(pairs.select("x", "y"), shapes, leads, sets, percent), "links")
     parts = staged(components(links.union(more), "x", "y"), "parts")
 
     home = groups.join(parts.withColumnRenamed("node", "lead"), "lead", "left").select("n", "f1", "f2", F.coalesce("component", "lead").alias("component_id"))
