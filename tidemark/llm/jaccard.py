@@ -29,7 +29,7 @@ COUNTERS = 1 << 21
 RANGES = 64
 #: Bits of the filter that tells which documents' whole sets a verification needs; fixed, and exact either way.
 SIEVE_BITS = 1 << 25
-_CHUNK = 1 << 16
+_CHUNK = 1 << 13
 
 _WORD = np.ones(256, bool)
 _WORD[[0x20, 9, 10, 11, 12, 13]] = False
@@ -99,13 +99,13 @@ def _added(chunks: DataFrame, counters: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums.setdefault(c, np.zeros(len(data) // (8 if len(data) > 4 * _CHUNK else 4), np.int64))
+                sums.setdefault(c, np.zeros(len(data) // 4, np.int64))
                 sums[c] += np.frombuffer(data, np.int32)
         for c, own in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "counts"])
 
     total = np.zeros(counters, np.int64)
-    for r in chunks.repartition(16, "chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
+    for r in chunks.repartition("chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
         own = np.frombuffer(r["counts"], np.int64)
         total[r["chunk"] : r["chunk"] + len(own)] = own
     return total
@@ -156,7 +156,7 @@ def _sieve(ids: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "bits"])
 
     out = np.zeros(SIEVE_BITS // 8, np.uint8)
-    chunks = ids.mapInArrow(scan, "chunk int, bits binary").repartition(16, "chunk").mapInArrow(unite, "chunk int, bits binary")
+    chunks = ids.mapInArrow(scan, "chunk int, bits binary").repartition("chunk").mapInArrow(unite, "chunk int, bits binary")
     for r in chunks.toLocalIterator():  # the filter's size in all
         own = np.frombuffer(r["bits"], np.uint8)
         out[r["chunk"] : r["chunk"] + len(own)] = own
@@ -239,9 +239,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     x_part, y_part = (here.select("gram", *(F.col(c).alias(f"{v}_{c}") for c in ("part", "least", "most", "rest"))) for v in "xy")
     close = (100 * F.col("x_most") >= percent * F.col("y_least")) & (100 * F.col("y_most") >= percent * F.col("x_least"))
     far_enough = (100 + percent) * F.least("x_rest", "y_rest") >= percent * (F.col("x_least") + F.col("y_least"))
-    meet = x_part.join(y_part, "gram").where((F.col("x_part") < F.col("y_part")) & close & far_enough).select("gram", "x_part", "y_part")
+    meet = x_part.join(y_part, "gram").where((F.col("x_part") < F.col("y_part")) & close & far_enough).select("gram", "x_part", "y_part", "y_least", "y_most", "y_rest")
     side = lambda v: placed.select("gram", F.col("part").alias(f"{v}_part"), F.col("node").alias(v), F.col("n").alias(f"{v}_n"), F.col("at").alias(f"{v}_at"))
-    pairs = meet.join(side("x"), ["gram", "x_part"]).join(side("y"), ["gram", "y_part"])
+    # the same bounds for each document of x's part before y's documents come in
+    fits = (100 * F.col("x_n") >= percent * F.col("y_least")) & (100 * F.col("y_most") >= percent * F.col("x_n"))
+    fits = fits & ((100 + percent) * F.least(F.col("x_n") - F.col("x_at"), F.col("y_rest")) >= percent * (F.col("x_n") + F.col("y_least")))
+    pairs = meet.join(side("x"), ["gram", "x_part"]).where(fits).join(side("y"), ["gram", "y_part"])
     pairs = pairs.where((100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")) & _enough(F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")), percent))
     more = staged(_verified(pairs.select("x", "y"), shapes, leads, sets, percent), "links")
     parts = staged(components(links.union(more), "x", "y"), "parts")
