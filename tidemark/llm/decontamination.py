@@ -101,11 +101,11 @@ def occurrences(hashes: np.ndarray, rows: np.ndarray, phrases: Phrases) -> tuple
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str, most: int) -> list[DataFrame]:
-    rows = benchmark.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = benchmark.select(F.col(key).alias("id"), F.col(text).alias("text")).distinct()
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
     total, largest = rows.agg(F.sum(size), F.max(size)).first()
     n = math.ceil((total or 1) / most)
-    while n > 1 and rows.groupBy((F.xxhash64("id", "text") % n).alias("b")).agg(F.sum(size).alias("s")).agg(F.max("s")).first()[0] > max(most, largest):
+    while n > 1 and rows.groupBy(F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("b")).agg(F.sum(size).alias("s")).agg(F.max("s")).first()[0] > max(most, largest):
         n *= 2
     return [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) for b in range(n)]
 
@@ -136,7 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 def _searcher(broadcast, text: str, plain: list[str], id_type: pa.DataType):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = broadcast.value
-        for batch in steps(batches, text, 8 << 20):
+        for batch in steps(batches, text, 2 << 20):
             n = batch.num_rows
             hashes, rows, begin, end = words(batch.column(text))
             first, size, number = occurrences(hashes, rows, phrases)
