@@ -195,7 +195,7 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
         for _ in range(min(n, len(group))):  # farthest first
             k = int(np.argmin(near))
             chosen.append(k)
-            marks.append(feature(words[k]))
+            marks.append(feature(words[k]).astype(np.float32))
             values.append(margins(code, starts, marks[-1], 0.0))
             near[group] = np.maximum(near[group], values[-1][group])
     marks, kernel = np.stack(marks), np.stack(values, 1)
@@ -254,7 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     # near copies mostly share the least hashes of long words, and would make chance words of one text look typical
     long = F.transform(F.filter(F.split(text, " "), lambda w: F.length(w) >= 8), lambda w: F.xxhash64(w))
     least = F.when(F.size(long) > 1, F.slice(F.array_sort(F.array_distinct(long)), 1, 2)).otherwise(F.array(F.xxhash64(text)))
-    rows = docs.select(key, text).where(F.col(text).isNotNull()).join(chosen, key).select(text, "toxic").dropDuplicates([text])
+    # the sample's keys, of which there are about twice ``most``
+    rows = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(chosen), key).select(text, "toxic").dropDuplicates([text])
     rows = staged(rows.withColumn("least", least).dropDuplicates(["least", "toxic"]).select(text, "toxic"), "labelled")
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     quiet = Machine(np.zeros(SYMBOLS**3, np.float32))
@@ -308,7 +309,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     plain, broadcast = rest.columns, docs.sparkSession.sparkContext.broadcast(machine)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, 2 << 20):
+        for batch in steps(batches, text, 1 << 20):
             p = broadcast.value.score(batch.column(text))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in plain] + [pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*plain, "score", "predicted"])
 
