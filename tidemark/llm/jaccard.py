@@ -74,16 +74,25 @@ def measure(docs: DataFrame, key: str, text: str, words: int, counters: int) ->
     """A row for each document (node, n, two fingerprints of its set) and, per task, n-gram counts in chunks."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(counters, np.int32)
+        counts, waiting = np.zeros(counters, np.int32), []
         names = ["node", "n", "f1", "f2", "chunk", "counts"]
+
+        def count() -> None:
+            if waiting:
+                counts[:] += np.bincount(np.concatenate(waiting), minlength=counters).astype(np.int32)
+                waiting.clear()
+
         for batch in steps(batches, text):
             value, bounds = shingle_sets(batch.column(text), words)
-            counts += np.bincount(_counter(value, counters), minlength=counters).astype(np.int32)
+            waiting.append(_counter(value, counters))
+            if sum(map(len, waiting)) > 1 << 20:
+                count()
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 batch.column(key), pa.array(np.diff(bounds), pa.int64()), pa.array(_row_sums(value, bounds)),
                 pa.array(_row_sums(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), bounds)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
             ], names=names)
+        count()
         for c in range(0, counters, _CHUNK):
             own = counts[c : c + _CHUNK]
             if own.any():

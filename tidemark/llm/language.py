@@ -143,8 +143,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", refuse: bool = F
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text, 1 << 20):
-            for at in range(0, batch.num_rows, 512):
-                own = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                own = batch.slice(at, 128)
                 names, score, far = broadcast.value.predict(own.column(text))
                 if refuse:
                     names = [UNKNOWN if x else name for name, x in zip(names, far)]

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one numpy step works on; a longer document is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
