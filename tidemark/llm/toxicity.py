@@ -205,7 +205,7 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     z = np.hstack([kernel @ whiten, np.ones((len(words), 1))])
     cost = np.where(y > 0, 4.0 * max(1.0, len(bad) / max(1, len(good))), 4.0)
     w = svm(z, y, cost)
-    return Machine((marks.T @ (whiten @ w[:-1])).astype(np.float32), float(w[-1]))
+    return Machine(marks.T @ (whiten @ w[:-1]).astype(np.float32), float(w[-1]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
