@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontamination, jaccard, packing, privacy, toxicity
 from tidemark.llm.shared import staged
 
+#: What the near-duplicate stage links, which is more than op6's contract: words of a shingle, similarity in hundredths.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that lead their component of near duplicates; rows without an id or words are all kept."""
-    found = jaccard.near_duplicates(docs).where("doc_id is not null").select("doc_id", "component_id").distinct()
+    found = jaccard.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id is not null").select("doc_id", "component_id").distinct()
     gone = found.where("doc_id <> component_id").select("doc_id")
     # rows that share the id of a kept document are one document
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

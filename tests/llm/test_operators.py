@@ -12,6 +12,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import decontamination, embeddings, fmindex, jaccard, language, packing, privacy, sharding, suffixes, toxicity, warc
 
 DOCS = "doc_id bigint, text string"
@@ -246,6 +247,23 @@ def test_jaccard(spark):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pipeline_drops_near_duplicates_at_five_words_and_eighty_percent(spark):
+    rng = random.Random(11)
+    changed = lambda k, base, at: " ".join(f"n{k}x{i}" if i in at else w for i, w in enumerate(base))
+    docs = []
+    for k in range(0, 30, 6):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(460)]
+        docs += [(k, " ".join(base)), (k + 4, " ".join(base[:4]) + f" other{k}")]
+        docs.append((k + 1, changed(k + 1, base, range(20, 460, 46))))  # scattered: 0.84 of 4 words, 0.80 of 5
+        docs.append((k + 2, changed(k + 2, base, range(100, 144))))  # one stretch: 0.81
+        docs.append((k + 3, changed(k + 3, base, range(100, 160))))  # 0.75
+    assert all(r[0] == r[2] for r in near(docs))  # nothing is linked by op6's contract
+    want = [r[0] for r in near(docs, 80, 5) if r[0] == r[2]]
+    assert len(want) == len(docs) - 10
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(docs, DOCS), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
+
+
 # 7 -------------------------------------------------------------------------------------------------------------
 
 
