@@ -108,6 +108,17 @@ def test_dictionary(spark, monkeypatch):
     assert match.dictionary_match(texts, "id", F.col("t"), names.limit(0), "c", F.col("n")).count() == 0
 
 
+def test_dictionary_means_the_same_at_every_size(spark, monkeypatch):
+    said = ["New York and York, new", "new, york new  york", "o'neil's O'Neil neil", "a b c d b c", "'tis x'tis 'tis1", "new york city york\nnew york state", "c++ c+ c", "Ünal ünal-x straße", "", None, "a b c d b c"]
+    texts = spark.createDataFrame([*enumerate(said), (0, "york")], "id int, t string")
+    listed = ["York", "New York", "new", "new york city", "o'neil", "neil", "a b c", "b c", "c d b", "'tis", "c++", "c", "ünal", "straße", "York", ""]
+    names = spark.createDataFrame([(f"{n}/{k}", n) for k, n in enumerate(listed)], "c string, n string")
+    small = rows(match.dictionary_match(texts, "id", F.col("t"), names, "c", F.col("n")))
+    assert (5, "new york city/3", 1) in small and (0, "York/0", 2) in small and (0, "York/14", 2) in small and (3, "b c/7", 1) in small
+    monkeypatch.setattr(match, "MOST_NAMES", 1)
+    assert rows(match.dictionary_match(texts, "id", F.col("t"), names, "c", F.col("n"))) == small
+
+
 def test_views(spark):
     df = spark.createDataFrame([("a", "x", 1), ("b", None, 2), ("b", "x", 3)], "k string, v string, n int")
     assert rows(views.matching(df, {"k": "b", "v": None})) == [("b", "x", 3), ("b", None, 2)]

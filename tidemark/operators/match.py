@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ MOST_NAMES = 5000
 def dictionary_match(texts: DataFrame, key: str, text: Column, names: DataFrame, code: str, name: str) -> DataFrame:
     """key, code and n (how often) for every name that stands in a text as whole words; names are small letters.
 
-    A dictionary of up to MOST_NAMES names becomes one pattern, longest names first, so texts are read once and
-    only hits are joined. A larger one meets the texts' word runs by hash, and then names inside longer ones count too.
+    Where names overlap, the leftmost counts and of those at one place the longest, whatever the dictionary's size. One
+    of up to MOST_NAMES names becomes one pattern, longest names first, so texts are read once and only hits are
+    joined. A larger one meets the texts' stretches of as many words as some name has, by hash.
     """
     found = names.select(F.col(code).alias("code"), F.lower(name).alias("name")).where("name <> ''").distinct()
     small = found.limit(MOST_NAMES + 1).collect()
@@ -27,14 +30,43 @@ def dictionary_match(texts: DataFrame, key: str, text: Column, names: DataFrame,
         pattern = "(?U)(?<!\\w)(" + "|".join(re.sub(r"([^\w\s])", r"\\\1", x) for x in longest) + ")(?!\\w)"
         hits = words.select(key, F.explode(F.regexp_extract_all("t", F.lit(pattern), F.lit(1))).alias("name"))
     else:
-        longest = found.agg(F.max(F.size(F.split("name", " ")))).first()[0]
-        split = words.select(key, F.regexp_extract_all("t", F.lit(r"(?U)(\w+)"), F.lit(1)).alias("w"))
-        at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1))))
-        runs = split.select(key, "w", at.alias("i")).select(key, F.explode(F.array(*(F.when(F.col("i") + k - 1 <= F.size("w"), F.array_join(F.slice("w", F.col("i"), k), " ")) for k in range(1, longest + 1)))).alias("name"))
-        hits = runs.join(found.select("name").distinct(), "name", "left_semi")
+        wordy = lambda x: x.rlike(r"(?U)^\w")
+        split = lambda t: F.regexp_extract_all(t, F.lit(r"(?U)(\w+|\W)"), F.lit(1)).alias("w")
+        shapes = found.select(split(F.col("name"))).select(F.size("w").alias("k"), wordy(F.get("w", F.lit(0))).alias("first"), wordy(F.element_at("w", -1)).alias("last")).distinct().collect()
+        pieces = words.where("t is not null").select(key, F.monotonically_increasing_id().alias("row"), split(F.col("t"))).where(F.size("w") > 0).withColumn("v", F.transform("w", wordy))
+
+        def stretch(i: Column, k: int, first: bool, last: bool) -> Column:
+            """Where a name of k pieces can stand from piece i on: like the pattern's, its ends touch no further letter."""
+            is_word = lambda at: F.coalesce(F.get("v", at), F.lit(False))
+            fits = (i + k <= F.size("w")) & (is_word(i) == first) & (is_word(i + k - 1) == last)
+            fits = fits if first else fits & ~is_word(i - 1)
+            fits = fits if last else fits & ~is_word(i + k)
+            return F.when(fits, F.struct(i.alias("start"), (i + k).alias("end"), F.array_join(F.slice("w", i + 1, k), "").alias("name")))
+
+        all_at = F.flatten(F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.filter(F.array(*(stretch(i, *shape) for shape in shapes)), lambda x: x.isNotNull())))
+        runs = pieces.select(key, "row", F.explode(all_at).alias("x")).select(key, "row", "x.*")
+        hits = _leftmost_longest(runs.join(found.select("name").distinct(), "name", "left_semi").select(key, "row", "start", "end", "name")).select(key, "name")
     return hits.groupBy(key, "name").agg(F.count("*").alias("n")).join(F.broadcast(found) if len(small) <= MOST_NAMES else found, "name").groupBy(key, "code").agg(F.sum("n").alias("n"))
 
 
+def _leftmost_longest(hits: DataFrame) -> DataFrame:
+    """Of the hits (row, start, end) of a row, from left to right, the longest at the first place left."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, free = None, 0
+        for batch in batches:
+            kept = []
+            for k, (r, start, end) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "start", "end")))):
+                if r != row:
+                    row, free = r, 0
+                if start >= free:
+                    kept.append(k)
+                    free = end
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return hits.repartition("row").sortWithinPartitions("row", "start", F.desc("end")).mapInArrow(keep, hits.schema)
+
+
 def outside(spans: Column, stronger: Column) -> Column:
     """The spans (start, end) that lie in no stronger span."""
     return F.filter(spans, lambda s: ~F.exists(stronger, lambda t: (t["start"] <= s["start"]) & (s["end"] <= t["end"])))
