@@ -402,6 +402,21 @@ def test_privacy(spark):
     assert privacy.find(df.limit(0)).count() == 0
 
 
+def test_privacy_words_inside_the_value(spark):
+    rng = random.Random(12)
+    other = lambda: "".join(rng.choice("bcdfghklmnprst") for _ in range(9))
+    docs = [(k, f"{other()} {other()} Keller wrote maria.keller@mail.example {other()} mail {other()}") for k in range(8)]
+    docs += [(k, f"{other()} maria.keller@mail.example {other()}") for k in range(10, 30)]  # the name in the address only
+    docs += [(k, f"{other()} by mail {other()}") for k in range(30, 90)]
+    docs += [(90, f"{other()} Keller {other()}"), (91, f"{other()} kellers {other()}")]
+    found = {r["doc_id"]: r["spans"] for r in privacy.find(spark.createDataFrame(docs, DOCS)).collect()}
+    marked = lambda k: [docs_text[k][s["start"] : s["end"]] for s in found[k] if s["kind"] == "term"]
+    docs_text = dict(docs)
+    assert marked(0) == ["Keller", "wrote"] and marked(90) == ["Keller"] and marked(10) == marked(30) == marked(91) == []
+    share = {r["word"]: r["share"] for r in privacy.disclosing_words(spark.createDataFrame(docs, DOCS)).collect()}
+    assert share == {"keller": pytest.approx(8 / 9), "wrote": 1.0}
+
+
 # 10 ------------------------------------------------------------------------------------------------------------
 
 

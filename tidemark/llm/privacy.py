@@ -89,8 +89,19 @@ def _value(text: str, kind: int) -> str:
     return f"{kind}:{text.lower() if kind < 2 else ''.join(c for c in text if c.isdigit())}"
 
 
+def _outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
+    """The words, in small letters, that no base match touches; only these can be marked."""
+    covered = np.zeros(len(text) + 1, bool)
+    for a, _, b in spans:
+        covered[a:b] = True
+    return (m[0].lower() for m in _TERM.finditer(text) if not covered[m.start() : m.end()].any())
+
+
 def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
-    """value and word (hashed value, small letters), documents that have the word near the value, and passages."""
+    """value and word (hashed value, small letters), documents that have the word near the value, and passages.
+
+    Words that are part of the value count like all others: beside an address the name in it gives most away.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
@@ -105,7 +116,7 @@ def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
                     words = {m[0] for m in _TERM.finditer(before) if m.start() or start <= NEAR} | {m[0] for m in _TERM.finditer(after) if m.end() < len(after) or end + NEAR >= len(x)}
                     value = _value(x[start:end], kind)
                     passage = xxh3_64_intdigest(" ".join(sorted(words))) >> 1
-                    pairs |= {(xxh3_64_intdigest(value) >> 1, w, passage) for w in words if w not in value}
+                    pairs |= {(xxh3_64_intdigest(value) >> 1, w, passage) for w in words}
                 found.update(pairs)
             if found:
                 value, word, passage = zip(*found)
@@ -124,7 +135,7 @@ def _blocks(words: DataFrame, most: int = BLOCK_WORDS) -> Iterator[dict]:
 
 
 def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
-    """word and how many documents hold it, over all documents."""
+    """word and how many documents hold it outside base matches, over all documents."""
     out = None
     for block in _blocks(words):
         if not block:
@@ -135,8 +146,10 @@ def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
             total: Counter = Counter()
             for batch in steps(batches, text):
                 for x in batch.column(text).to_pylist():
-                    if x:
-                        total.update(broadcast.value.intersection(_TERM.findall(x.lower())))
+                    held = broadcast.value.intersection(_TERM.findall(x.lower())) if x else ()
+                    if held and (spans := base_spans(x)):
+                        held = held.intersection(_outside(x, spans))
+                    total.update(held)
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
         part = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
