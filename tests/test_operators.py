@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import change, gates, identity, match, runs, search, views
 from tidemark.operators.change import ChangeSpec, reconcile
+from tidemark.plans.queries import QUERIES
 
 STATE = "id string, status string, content_hash string"
 
@@ -136,3 +137,10 @@ def test_search(spark):
     index = search.postings(whole, "id", F.col("text"), F.col("weight"), folded=True)
     assert rows(search.search(index, "id", ["ayuda"])) == [(1, 6), (2, 1)]
     assert rows(search.search(index, "id", ["ayuda", "otra"])) == [(2, 4)]
+
+
+def test_term_statistics_of_all_documents(spark, tmp_path):
+    docs = [(1, "The the Haus", "en"), (2, "das Haus, the", "de"), (3, None, "en"), (4, "", "fr"), (5, "été the_1 Été", None)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["term"]: (r["documents"], r["weight"]) for r in QUERIES["term_statistics"](spark, str(tmp_path)).collect()}
+    assert got == {"the": (2, 3), "haus": (2, 2), "das": (1, 1), "été": (1, 2), "the_1": (1, 1)}

@@ -26,6 +26,11 @@ def postings(docs: DataFrame, key: str, text: Column, weight: Column | None = No
     return terms.groupBy("term", key).agg(F.sum("w").cast("long").alias("weight"))
 
 
+def statistics(index: DataFrame) -> DataFrame:
+    """documents and weight of every term of the index."""
+    return index.groupBy("term").agg(F.count("*").alias("documents"), F.sum("weight").alias("weight"))
+
+
 def search(index: DataFrame, key: str, terms: list[str]) -> DataFrame:
     """Documents that hold every term, with the sum of the terms' weights."""
     wanted = list(dict.fromkeys(t.lower() for t in terms))

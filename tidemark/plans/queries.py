@@ -374,6 +374,12 @@ def search_terms(spark, d):
     return index.where(F.col("term").isin("the", "licensed", "license", "idiot")).groupBy("term").agg(F.count("*").alias("documents"), F.sum("weight").alias("weight"))
 
 
+@query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS term FROM documents)
+  SELECT term, count(DISTINCT doc_id) AS documents, count(*)::BIGINT AS weight FROM w GROUP BY 1""")
+def term_statistics(spark, d):
+    return search.statistics(search.postings(table(spark, d, "documents"), "doc_id", F.col("text")))
+
+
 @query("""WITH w AS (SELECT doc_id, lower(w) AS term FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS w FROM documents)),
   p AS (SELECT doc_id, term, count(*) AS n FROM w WHERE term IN ('the', 'license') GROUP BY ALL)
   SELECT doc_id, sum(n)::BIGINT AS score FROM p GROUP BY 1 HAVING count(*) = 2""")
