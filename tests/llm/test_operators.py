@@ -409,6 +409,7 @@ def test_privacy_words_inside_the_value(spark):
     docs += [(k, f"{other()} maria.keller@mail.example {other()}") for k in range(10, 30)]  # the name in the address only
     docs += [(k, f"{other()} by mail {other()}") for k in range(30, 90)]
     docs += [(90, f"{other()} Keller {other()}"), (91, f"{other()} kellers {other()}")]
+    docs += [(k, other()) for k in range(100, 400)]  # so many that the address, in 28 documents, is rare
     found = {r["doc_id"]: r["spans"] for r in privacy.find(spark.createDataFrame(docs, DOCS)).collect()}
     marked = lambda k: [docs_text[k][s["start"] : s["end"]] for s in found[k] if s["kind"] == "term"]
     docs_text = dict(docs)
@@ -417,6 +418,20 @@ def test_privacy_words_inside_the_value(spark):
     assert share == {"keller": pytest.approx(8 / 9), "wrote": 1.0}
 
 
+def test_privacy_counts_documents_of_a_value(spark):
+    rng = random.Random(13)
+    other = lambda: "".join(rng.choice("bcdfghklmnprst") for _ in range(9))
+    far = lambda: " ".join(other() for _ in range(12))
+    docs = [(k, f"{other()} zebras ann@home.example {other()}") for k in range(3)]
+    docs += [(k, f"{other()} ann@home.example {other()}") for k in range(3, 40)]  # a common value, neighbours that vary
+    docs += [(k, f"{other()} quince bob@home.example {far()} {far()} quince bob@home.example {other()}") for k in range(40, 43)]
+    docs += [(k, f"{other()} quince {other()}") for k in range(43, 47)] + [(k, far()) for k in range(47, 60)]
+    df = spark.createDataFrame(docs, DOCS)
+    counted = {(r["word"], r["joint"], r["passages"]) for r in privacy.evidence(df).collect() if r["word"] in (None, "zebras", "quince")}
+    assert counted == {(None, 40, 1), (None, 3, 1), ("zebras", 3, 3), ("quince", 3, 6)}
+    assert privacy.disclosing_words(df).count() == 0  # quince: 3 of 7 documents
+
+
 # 10 ------------------------------------------------------------------------------------------------------------
 
 

@@ -100,6 +100,7 @@ def _outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
 def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
     """value and word (hashed value, small letters), documents that have the word near the value, and passages.
 
+    A row without a word has the documents that hold the value at all.
     Words that are part of the value count like all others: beside an address the name in it gives most away.
     """
 
@@ -108,19 +109,28 @@ def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
             found: Counter = Counter()
             for x in batch.column(text).to_pylist():
                 spans = base_spans(x) if x else []
-                pairs = set()
+                pairs: dict[tuple[int, str], set[int]] = {}
+                values = set()
                 for start, kind, end in spans:
                     before = x[max(0, start - NEAR) : start].lower()
                     after = x[end : end + NEAR].lower()
                     # a word cut off by the border of the stretch is left out
                     words = {m[0] for m in _TERM.finditer(before) if m.start() or start <= NEAR} | {m[0] for m in _TERM.finditer(after) if m.end() < len(after) or end + NEAR >= len(x)}
-                    value = _value(x[start:end], kind)
+                    value = xxh3_64_intdigest(_value(x[start:end], kind)) >> 1
+                    values.add(value)
                     passage = xxh3_64_intdigest(" ".join(sorted(words))) >> 1
-                    pairs |= {(xxh3_64_intdigest(value) >> 1, w, passage) for w in words}
-                found.update(pairs)
+                    for w in words:
+                        pairs.setdefault((value, w), set()).add(passage)
+                for value in values:
+                    found[value, None, 0] += 1
+                # the document counts with one of its passages, so that passages add up to documents
+                for (value, w), passages in pairs.items():
+                    first = min(passages)
+                    for passage in passages:
+                        found[value, w, passage] += passage == first
             if found:
                 value, word, passage = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(word), pa.array(passage, pa.int64()), pa.array(list(found.values()), pa.int64())], names=["value", "word", "passage", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(word, pa.string()), pa.array(passage, pa.int64()), pa.array(list(found.values()), pa.int64())], names=["value", "word", "passage", "n"])
 
     rows = docs.select(text).mapInArrow(scan, "value bigint, word string, passage bigint, n bigint")
     by_passage = rows.groupBy("value", "word", "passage").agg(F.sum("n").alias("n"))
@@ -159,14 +169,14 @@ def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
 
 def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """word and share: words that disclose some protected value, with the largest share of their documents."""
-    pairs = staged(evidence(docs, text).where(F.col("passages") >= LEAST_PASSAGES), "evidence")
+    seen = staged(evidence(docs, text).where(F.col("word").isNull() | (F.col("passages") >= LEAST_PASSAGES)), "evidence")
+    pairs = seen.where("word is not null")
     if pairs.isEmpty():
         return docs.sparkSession.createDataFrame([], "word string, share double")
     total = docs.count()
     words = pairs.select("word").distinct().withColumn("share", F.lit(0.0))
     counts = staged(_document_counts(docs, words, text), "counts")
-    # how often a value occurs near any word: its largest joint count
-    values = pairs.groupBy("value").agg(F.max("joint").alias("of_value"))
+    values = seen.where("word is null").select("value", F.col("joint").alias("of_value"))
     both = pairs.join(counts, "word").join(values, "value")
     share = F.col("joint") / F.greatest("n", "joint")
     joint = F.col("joint") / total
