@@ -10,17 +10,27 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step works on; a longer document is a step of its own.
 STEP_BYTES = 1 << 20
 
 
+#: Folders made where no shared one is named, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a local one only where it is unset."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share. Only a local session, whose executors are the
+    driver itself, may do without it; then a temporary folder is used."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        name = spark.sparkContext.applicationId
+        found = _LOCAL.setdefault(name, "") or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        _LOCAL[name] = found
     return found.rstrip("/")
 
 
@@ -36,6 +46,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if more than one row in so many has it; so at most so many keys are hot.
+HOT_SHARE = 1000
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+    """``left`` with the columns of ``right``, which has one row for each key and counts in ``rows`` those of left.
+
+    A left join that leaves hot keys where they are: of the keys that more than one row of ``total`` in HOT_SHARE has
+    there are at most HOT_SHARE, which are broadcast; the others are joined by key. Rows without a key, or whose key
+    right lacks, keep nulls. Both tables should be staged, as they are read more than once.
+    """
+    hot = F.broadcast(right.where(F.col(rows) * HOT_SHARE > total).withColumn("_hot", F.lit(True)))
+    cold = right.where(F.col(rows) * HOT_SHARE <= total)
+    marked = left.join(hot, key, "left")
+    far = left.where(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti")
+    near = marked.where(F.col(key).isNull() | F.col("_hot")).drop("_hot")
+    return near.unionByName(far.join(cold, key, "left"))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column end to end, and each row's bounds in them; null counts as empty."""
     if column.null_count:
