@@ -25,11 +25,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
-    page = lambda c: F.regexp_extract(c, r"^<urn:page:(\d+)>$", 1)
-    return records.select(
-        page("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.when(F.col("refers_to").isNotNull(), page("refers_to").cast("long")).alias("refers_to"), "verified",
-    )
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long").alias(c)
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to"), "verified")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """WARC archives: written one gzip member per record, read back sequentially.
 
-Equal payloads are found by digest with a partial aggregation, so a group of any size is spread over tasks; the
-rows then go to archive files of bounded size in the folder all executors share. Every attempt of a task writes
+Equal payloads are found by digest with a partial aggregation. The leads of the most common payloads (at most a
+thousand) are broadcast, so their rows, and those too short for a revisit, stay where they are; only the other rows
+are joined by digest. All go to archive files of bounded size in the folder all executors share. Every attempt of a task writes
 files of its own, and only those that a finished task reports are read, so lost executors leave no half archives.
 """
 
@@ -18,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import new_folder, staged
+from .shared import join_hot, new_folder, staged
 
 #: Payloads of fewer bytes are never written as revisits.
 REVISIT_BYTES = 100
@@ -60,12 +61,14 @@ def plan_records(pages: DataFrame, key: str, url: str, payload: str, least: int
     """``key``, ``url``, payload and refers_to: the smallest key with the same payload, null for responses.
 
     Null payloads are empty. Rows that share both the smallest key and the payload are all responses; with
-    only null keys for a payload all are responses too.
+    only null keys for a payload all are responses too, while null keys beside others revisit them.
     """
     rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("body"))
     rows = rows.withColumn("digest", F.when(F.octet_length("body") >= least, F.sha2(F.col("body"), 256)))
-    first = rows.where("digest is not null").groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    return rows.join(first, "digest", "left").select("page", "url", "body", F.when(F.col("first") != F.coalesce(F.col("page"), F.lit(-1)), F.col("first")).alias("refers_to"))
+    first = rows.where("digest is not null").groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n"))
+    first = staged(first.where("n > 1 and first is not null"), "payloads")
+    joined = join_hot(rows, first, "digest", "n", pages.count())
+    return joined.select("page", "url", "body", F.when(~F.col("first").eqNullSafe(F.col("page")), F.col("first")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = REVISIT_BYTES, date: str | None = None, most: int = ARCHIVE_BYTES) -> DataFrame:
