@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import LOWER, mix, row_of, runs, span_hashes, staged, steps, utf8
+from .shared import LOWER, mix, row_of, runs, sieve, sifted, span_hashes, staged, steps, utf8
 
 SHINGLE_WORDS = 4
 #: Similarity in hundredths.
@@ -27,8 +27,6 @@ LEAST_PERCENT = 85
 COUNTERS = 1 << 21
 #: Hash ranges of the suffix filter.
 RANGES = 64
-#: Bits of the filter that tells which documents' whole sets a verification needs; fixed, and exact either way.
-SIEVE_BITS = 1 << 25
 _CHUNK = 1 << 13
 
 _WORD = np.ones(256, bool)
@@ -144,48 +142,13 @@ def _prefixes(docs: DataFrame, key: str, text: str, words: int, percent: int, to
     return docs.select(key, text).mapInArrow(scan, "node bigint, n bigint, prefix array<bigint>, shape array<int>")
 
 
-def _sieve(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over whole numbers: bits set on the executors, put together by chunk."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(SIEVE_BITS // 8, np.uint8)
-        for batch in batches:
-            for at in _sieve_places(batch.column(0).to_numpy()):
-                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        for c in range(0, len(bits), _CHUNK):
-            if bits[c : c + _CHUNK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([bits[c : c + _CHUNK].tobytes()])], names=["chunk", "bits"])
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[c] = found.get(c, np.uint8(0)) | np.frombuffer(data, np.uint8)
-        for c, own in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "bits"])
-
-    out = np.zeros(SIEVE_BITS // 8, np.uint8)
-    chunks = ids.mapInArrow(scan, "chunk int, bits binary").repartition("chunk").mapInArrow(unite, "chunk int, bits binary")
-    for r in chunks.toLocalIterator():  # the filter's size in all
-        own = np.frombuffer(r["bits"], np.uint8)
-        out[r["chunk"] : r["chunk"] + len(own)] = own
-    return out
-
-
-def _sieve_places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x51ED270B))
-    return (h % np.uint64(SIEVE_BITS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(SIEVE_BITS)).astype(np.int64)
-
-
 def _sets(docs: DataFrame, key: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
     """node and shingles of at least the documents in ``wanted``; the filter spares moving any text."""
-    broadcast = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
+    broadcast = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = broadcast.value
         for batch in batches:
-            a, b = _sieve_places(batch.column(key).to_numpy())
-            chosen = batch.filter(pa.array((bits[a >> 3] >> (a & 7) & 1 & bits[b >> 3] >> (b & 7)).astype(bool)))
+            chosen = batch.filter(pa.array(sifted(batch.column(key).to_numpy(), broadcast.value)))
             for own in steps(iter([chosen]), text):
                 value, bounds = shingle_sets(own.column(text), words)
                 yield pa.RecordBatch.from_arrays([own.column(key), pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(value.view(np.int64)))], names=["node", "shingles"])

@@ -111,6 +111,52 @@ def row_of(starts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(starts, bounds)))
 
 
+#: Bits of a sieve for each number in it, and at least and at most; a full one lets more through, never less.
+SIEVE_EACH, SIEVE_LEAST, SIEVE_MOST = 16, 1 << 16, 1 << 28
+_CHUNK = 1 << 13
+
+
+def sieve(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter over a column of whole numbers, as large as their count demands: bits set on the executors, put
+    together by chunk."""
+    size = min(SIEVE_MOST, max(SIEVE_LEAST, 1 << int(ids.count() * SIEVE_EACH).bit_length()))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            for at in _sieve_places(batch.column(0).to_numpy(), size):
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        for c in range(0, len(bits), _CHUNK):
+            if bits[c : c + _CHUNK].any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([bits[c : c + _CHUNK].tobytes()])], names=["chunk", "bits"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[c] = found.get(c, np.uint8(0)) | np.frombuffer(data, np.uint8)
+        for c, own in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([own.tobytes()])], names=["chunk", "bits"])
+
+    out = np.zeros(size // 8, np.uint8)
+    chunks = ids.mapInArrow(scan, "chunk int, bits binary").repartition("chunk").mapInArrow(unite, "chunk int, bits binary")
+    for r in chunks.toLocalIterator():  # the filter's size in all
+        own = np.frombuffer(r["bits"], np.uint8)
+        out[r["chunk"] : r["chunk"] + len(own)] = own
+    return out
+
+
+def _sieve_places(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x51ED270B))
+    return (h % np.uint64(size)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+
+
+def sifted(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether a sieve may hold each number; it never misses one that it holds."""
+    a, b = _sieve_places(ids, len(bits) * 8)
+    return (bits[a >> 3] >> (a & 7) & 1 & bits[b >> 3] >> (b & 7)).astype(bool)
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 

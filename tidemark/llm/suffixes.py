@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import _BYTE, _powers, mix, span_hashes, staged, steps, utf8
+from .shared import _BYTE, STEP_BYTES, _powers, join_hot, mix, sieve, sifted, span_hashes, staged, steps, utf8
 
 MATCH_BYTES = 400
 #: Places of a string that may hold its anchor, and bytes that an anchor's hash takes.
 PLACES, GRAM = 192, 16
 #: Suffixes of a run, and of a range, about; ranges at most; sampled suffixes for each range.
-RUN_SUFFIXES, RANGE_SUFFIXES, MOST_RANGES, SAMPLED = 40_000, 20_000, 65_536, 16
+RUN_SUFFIXES, RANGE_SUFFIXES, MOST_RANGES, SAMPLED = 40_000, 20_000, 16_384, 4
 _PLACE_BITS = np.uint64(28)
 _HEAD = struct.Struct("<HHHII")
 
@@ -60,15 +60,31 @@ def anchors(data: np.ndarray, bounds: np.ndarray, match: int = MATCH_BYTES, plac
     return at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
 
 
+def _anchored(data: np.ndarray, bounds: np.ndarray, match: int, places: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors in rows end to end, and hashes of the bytes from each on; long rows are taken by windows."""
+    if len(data) <= 4 * STEP_BYTES:
+        at = anchors(data, bounds, match, places)
+        return at, span_hashes(data, at, at + match - places + 1).view(np.int64)
+    found, hashes = [], []
+    for low in range(0, len(data), STEP_BYTES):
+        high = min(len(data), low + STEP_BYTES + match - 1)  # every string is whole in the window it starts in
+        inner = bounds[(bounds > low) & (bounds < high)] - low
+        own = data[low:high]
+        at = anchors(own, np.concatenate(([0], inner, [high - low])), match, places)
+        found.append(at + low)
+        hashes.append(span_hashes(own, at, at + match - places + 1).view(np.int64))
+    at, first = np.unique(np.concatenate(found), return_index=True)
+    return at, np.concatenate(hashes)[first]
+
+
 def _scan(docs: DataFrame, key: str, text: str, match: int, places: int) -> DataFrame:
     """row key, digest, bytes and sha256 of every text, with the hashes at its anchors and their places."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
             data, bounds = utf8(batch.column(text))
-            at = anchors(data, bounds, match, places)
+            at, hashes = _anchored(data, bounds, match, places)
             row = np.searchsorted(bounds, at, "right") - 1
-            hashes = span_hashes(data, at, at + match - places + 1).view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows)))).astype(np.int32)
             view = memoryview(np.ascontiguousarray(data))
             sha = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
@@ -304,6 +320,19 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _sifted_texts(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """At least the rows of ``texts`` (id, text) whose id ``found`` has as key; most others stay where they are."""
+    bits = texts.sparkSession.sparkContext.broadcast(sieve(found.where("key is not null").select("key")))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            kept = sifted(ids.fill_null(0).to_numpy(), bits.value) | ids.is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(kept))
+
+    return texts.mapInArrow(sift, texts.schema)
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", match: int = MATCH_BYTES, places: int = PLACES) -> tuple[DataFrame, DataFrame]:
     """Two tables: every row's key, n_bytes, sha and whether other rows have its text (copies); and for each
     different text with something repeated, key and sha of its lead, spans (UTF-8 byte offsets), kept text and kept_sha256.
@@ -314,12 +343,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", mat
     spark = docs.sparkSession
     scanned = staged(_scan(docs, key, text, match, places), "scanned")
     groups = staged(scanned.groupBy("sha").agg(F.min("key").alias("key"), F.count("*").alias("copies")), "texts")
-    rows = scanned.select("key", "n_bytes", "sha").join(groups.select("sha", "copies"), "sha")
-    lead = scanned.where(F.size("hashes") > 0).join(groups.select("sha", F.col("key").alias("lead")), "sha").where(F.col("key").eqNullSafe(F.col("lead")))
+    rows = join_hot(scanned.select("key", "n_bytes", "sha"), groups.select("sha", "copies"), "sha", "copies", scanned.count())
+    # a lead is a row of its own key: copies of one text lie apart
+    lead = scanned.where(F.size("hashes") > 0).alias("s").join(groups.alias("g"), F.col("s.sha").eqNullSafe(F.col("g.sha")) & F.col("s.key").eqNullSafe(F.col("g.key")))
+    lead = staged(lead.select("s.key", "s.sha", "s.hashes", "s.places"), "leads")
     pairs = lead.select("key", "sha", F.explode(F.arrays_zip("hashes", "places")).alias("x")).select("key", "sha", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
-    twice = pairs.select("hash").groupBy("hash").agg(F.count("*").alias("c")).where("c > 1").select("hash")
-    found = pairs.join(twice, "hash").groupBy("key", "sha").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") >= match)
+    twice = staged(pairs.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1"), "twice")
+    anchored = lead.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    found = join_hot(pairs, twice, "hash", "c", anchored).where("c is not null")
+    found = staged(found.groupBy("key", "sha").agg(F.sort_array(F.collect_set("place")).alias("places")), "found")
+    texts = _sifted_texts(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") >= match), found)
     held = texts.join(found, texts["id"].eqNullSafe(found["key"])).where(F.sha2("text", 256) == F.col("sha")).select("key", "sha", "text", "places")
     held = staged(held, "held")
     total = held.agg(F.sum(F.size("places"))).first()[0] or 0
@@ -328,7 +361,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", mat
     owners = sorted_.where("bucket is null").select("run", "number", "key", "sha", "place")
     spans = owners.join(hits, ["run", "number"]).select("key", "sha", (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + match).alias("stop"))
     spans = spans.groupBy("key", "sha").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
-    ready = held.select("key", "sha", "text").join(spans.withColumnRenamed("key", "k"), "sha").where(F.col("key").eqNullSafe(F.col("k"))).select("key", "sha", "text", "found")
+    spans = spans.select(F.col("key").alias("k"), F.col("sha").alias("s"), "found")
+    ready = held.join(spans, F.col("key").eqNullSafe(F.col("k")) & (F.col("sha") == F.col("s"))).select("key", "sha", "text", "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,7 +387,9 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", match:
     rows, result = repeated_spans(docs, key, text, match, places)
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["stop"] - x["start"])
     found = result.groupBy("sha").agg(F.first(gone).alias("gone"), F.first(F.size("spans")).alias("runs"), F.first("kept_sha256").alias("left"))
-    joined = rows.join(found, "sha", "left")
+    # copies are gone whole; what is cut out of other texts goes to their single rows
+    alone = rows.where("copies = 1").join(found, "sha", "left")
+    joined = alone.unionByName(rows.where("copies > 1"), allowMissingColumns=True)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= match)
     return joined.select(
         F.col("key").alias(key), "n_bytes",
