@@ -1,13 +1,16 @@
 """Toxicity by a support vector machine on a subsequence string kernel with Nyström landmarks.
 
-The kernel compares words by their common subsequences of three letters, each occurrence weighted down with the
-stretch it covers, so letters between those of an insult cost little. Words are told apart by landmarks: kernel
-values against them, whitened, are the inputs of a linear SVM. As the kernel is an inner product over
-subsequences, the trained expansion over landmarks adds up to one weight for each subsequence, which makes scoring
-exact and linear in the text. A document's score is a logistic function of its words' margins.
-
-Training words come from labelled sentences: words that mark the sentences of toxic documents are positive, words
-of clean documents are negative, and clean words that an earlier machine takes for toxic are added.
+The kernel compares words by their common subsequences of three symbols (letters, and the borders of words), each
+occurrence weighted down with the stretch it covers, so letters between those of an insult cost little. Words are
+told apart by landmarks: kernel values against them, whitened, are the inputs of a linear SVM. As the kernel is an
+inner product over subsequences, the trained expansion over landmarks adds up to one weight for each subsequence,
+which makes scoring exact and linear in the text. A sentence is as toxic as its worst word, and a document's score is
+a logistic function of its sentences' margins.
+
+Training takes labelled documents as bags of sentences. Runs of letters that stand in toxic documents far beyond
+chance say where to look: words with such a run are positive if they stand mostly in toxic documents; those that
+stand mostly in clean ones, and all other words of clean documents, are negative. The machine is fitted on a working
+set, which takes in clean words beyond the margin round by round until none is left outside.
 """
 
 from __future__ import annotations
@@ -26,17 +29,19 @@ from .language import fold_of, sampled
 from .letters import TABLE, code_points
 from .shared import staged, steps
 
-#: Labelled documents of each class that a model is fitted on, about.
+#: Labelled documents of each class that a model is fitted on, about; the only bound on what is read to fit.
 SAMPLE_DOCUMENTS = 2500
-#: Positive words, negative words and clean words per round that may be trained on, at most.
-POSITIVE_WORDS, NEGATIVE_WORDS, HARD_WORDS = 400, 3000, 800
 LANDMARKS = 400
-ROUNDS = 3
-#: Letters of the runs whose documents are counted to find what marks toxic ones, and how unlikely by chance, as a
-#: natural logarithm beyond that of the number of runs, a run's documents must be.
-RUN_LETTERS, SURPRISE = 4, 3.0
-#: Weight of a subsequence for each letter of the stretch it covers, and the longest stretch less one.
+#: Clean words that one round takes into the working set, and rounds at most; mostly a few rounds leave none outside.
+ROUND_WORDS, ROUNDS = 1500, 8
+#: Symbols of the runs whose documents are counted to find what marks toxic ones; how unlikely by chance, as a natural
+#: logarithm beyond that of the number of runs, a run's documents must be; and how many times the usual share of them
+#: must be toxic. A word with such a run is positive if this share of its own documents is toxic, else negative.
+RUN_SYMBOLS, SURPRISE, LIFT, WORD_SHARE = (4, 5, 6), 3.0, 3.0, 0.5
+#: Weight of a subsequence for each symbol of the stretch it covers, and the longest stretch less one.
 DECAY, STRETCH = 0.6, 5
+#: Symbols of the pieces that a longer word is also scored by; pieces overlap by half.
+PIECE = 24
 SYMBOLS = 32
 # fixed values: characters that stand for letters
 LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -46,7 +51,7 @@ GAPS = [(a, b) for a in range(1, STRETCH) for b in range(1, STRETCH - a + 1)]
 
 @cache
 def symbols() -> np.ndarray:
-    """A symbol for each code point: 1-26 for Latin letters without marks, 27-31 for others, 0 for no letter, 255 for blanks."""
+    """A symbol for each code point: 1-26 for plain Latin letters, 27-31 for other letters, 0 for no letter, 255 for blanks."""
     out = np.zeros(TABLE + 1, np.uint8)
     for c in range(TABLE):
         x = chr(c)
@@ -55,8 +60,8 @@ def symbols() -> np.ndarray:
         elif x in LOOKALIKE:
             out[c] = ord(LOOKALIKE[x]) - 96
         elif unicodedata.category(x)[0] == "L":
-            small = unicodedata.normalize("NFKD", x.lower())[0]
-            out[c] = ord(small) - 96 if "a" <= small <= "z" else 27 + c % 5
+            small = x.lower()[0]
+            out[c] = ord(small) - 96 if "a" <= small <= "z" else 27 + ord(small) % 5
     out[TABLE] = 31
     return out
 
@@ -64,8 +69,9 @@ def symbols() -> np.ndarray:
 def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all words end to end, where each word starts, and its row.
 
-    Words are what blanks separate, less the characters that are no letters; letters that stand alone one after
-    another are one word. Look-alike digits count as letters only in words that hold a letter.
+    Words are what blanks separate, less the characters that are no letters, with the border symbol 0 on both sides;
+    letters that stand alone one after another are one word. Look-alike digits count as letters only in words that hold
+    a letter. Words with other characters inside also count by their stretches of letters, and long words by pieces.
     """
     points, bounds = code_points(column)
     found = symbols()[np.minimum(points, TABLE)]
@@ -78,15 +84,35 @@ def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     is_letter = solid & (points >= 65)
     letters_in = np.bincount(word[is_letter], minlength=int(word[-1]) + 1 if len(word) else 0)
     solid &= letters_in[word] > 0 if len(word) else solid
-    code, word, rows = found[solid], word[solid], rows[solid]
-    first = np.concatenate(([True], word[1:] != word[:-1]))[: len(word)]
-    starts = np.flatnonzero(first)
-    size = np.diff(np.append(starts, len(code)))
+    place = np.flatnonzero(solid)
+    code, word, rows = found[place], word[place], rows[place]
+    starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))[: len(word)])
     row = rows[starts]
-    single = size == 1
+    single = np.diff(np.append(starts, len(code))) == 1
     glued = single[1:] & single[:-1] & (row[1:] == row[:-1])
-    keep = np.concatenate(([True], ~glued))[: len(starts)]
-    return code, starts[keep], row[keep]
+    starts = starts[np.concatenate(([True], ~glued))[: len(starts)]]
+    ends = np.append(starts[1:], len(code))[: len(starts)]
+    # stretches of letters of words that other characters cut
+    cut = np.flatnonzero(np.concatenate(([True], (np.diff(place) != 1) | (word[1:] != word[:-1])))[: len(place)])
+    stop = np.append(cut[1:], len(code))[: len(cut)]
+    owner = np.searchsorted(starts, cut, "right") - 1
+    inner = (stop - cut >= 3) & ((cut != starts[owner]) | (stop != ends[owner])) if len(cut) else np.zeros(0, bool)
+    low, high = np.concatenate((starts, cut[inner])), np.concatenate((ends, stop[inner]))
+    closed = np.ones(len(low), bool)
+    long = np.flatnonzero(high - low > PIECE)
+    if len(long):
+        k = -(-(high[long] - low[long]) // (PIECE // 2)) - 1
+        begin = np.repeat(low[long], k) + (np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)) * (PIECE // 2)
+        low, high = np.concatenate((low, begin)), np.concatenate((high, np.minimum(begin + PIECE, np.repeat(high[long], k))))
+        closed = np.concatenate((closed, np.zeros(len(begin), bool)))
+    size = high - low
+    at = np.cumsum(size + 2) - size - 2
+    out = np.zeros(int((size + 2).sum()), np.uint8)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[inside + np.repeat(at + 1, size)] = code[inside + np.repeat(low, size)]
+    if not closed.all():  # pieces have no borders: they repeat their first and last letter
+        out[at[~closed]], out[(at + size + 1)[~closed]] = code[low[~closed]], code[high[~closed] - 1]
+    return out, at, rows[low]
 
 
 def _norms(longest: int) -> np.ndarray:
@@ -149,11 +175,11 @@ def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 25, seed:
 
 
 def _variants(words: list[str], rng: np.random.Generator) -> list[str]:
-    """Each word with one symbol put in and each with one doubled, as insults are disguised."""
+    """Each word with one symbol put in and each with one doubled, as insults are disguised; borders stay outside."""
     out = []
     for w in words:
-        if len(w) > 3:
-            at = int(rng.integers(1, len(w)))
+        if len(w) > 5:
+            at = int(rng.integers(2, len(w) - 1))
             out += [w[:at] + chr(64 + int(rng.integers(1, 27))) + w[at:], w[:at] + w[at - 1] + w[at:]]
     return out
 
@@ -164,16 +190,16 @@ class Machine:
 
     weights: np.ndarray
     bias: float = -1.0
-    logistic: tuple[float, ...] = (-3.0, 4.0, 1.0)
+    logistic: tuple[float, ...] = (-3.0, 4.0, 1.0, 1.0)
 
     def document(self, column: pa.Array) -> np.ndarray:
-        """For every row: the largest margin, and a logarithm of how many are over 0."""
+        """For every row: the largest margin, and logarithms of how many words are over 0 and well over it."""
         code, starts, row = units(column)
         value = margins(code, starts, self.weights, self.bias)
         n = len(column)
         top = np.full(n, -2.0)
         np.maximum.at(top, row, value)
-        return np.stack([np.clip(top, -2, 4), np.log1p(np.bincount(row[value > 0], minlength=n))], 1)
+        return np.stack([np.clip(top, -2, 4), *(np.log1p(np.bincount(row[value > least], minlength=n)) for least in (0.0, 0.5))], 1)
 
     def score(self, column: pa.Array) -> np.ndarray:
         x = self.document(column)
@@ -188,17 +214,18 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     words = good + bad
     code, starts = packed(words)
     y = np.concatenate((np.ones(len(good)), -np.ones(len(bad))))
-    chosen, marks, values = [], [], []
-    for group, n in ((np.arange(len(positive)), landmarks // 2), (np.arange(len(good), len(words)), landmarks // 2)):
+    groups = [(np.arange(len(positive)), min(landmarks // 2, len(positive))), (np.arange(len(good), len(words)), min(landmarks // 2, len(bad)))]
+    total = sum(n for _, n in groups)
+    chosen, marks, kernel = [], np.zeros((total, SYMBOLS**3), np.float32), np.zeros((len(words), total))
+    for group, n in groups:
         near = np.full(len(words), np.inf)
         near[group] = -1.0
-        for _ in range(min(n, len(group))):  # farthest first
-            k = int(np.argmin(near))
+        for _ in range(n):  # farthest first
+            k, at = int(np.argmin(near)), len(chosen)
             chosen.append(k)
-            marks.append(feature(words[k]).astype(np.float32))
-            values.append(margins(code, starts, marks[-1], 0.0))
-            near[group] = np.maximum(near[group], values[-1][group])
-    marks, kernel = np.stack(marks), np.stack(values, 1)
+            marks[at] = feature(words[k])
+            kernel[:, at] = margins(code, starts, marks[at], 0.0)
+            near[group] = np.maximum(near[group], kernel[group, at])
     value, vector = np.linalg.eigh((kernel[chosen] + kernel[chosen].T) / 2)
     kept = value > 1e-6 * value.max()
     whiten = vector[:, kept] / np.sqrt(value[kept])
@@ -221,82 +248,145 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
-def _distinct(rows: DataFrame, text: str, run: int = 0) -> DataFrame:
-    """toxic and word for each distinct word of a document, or for each distinct run of ``run`` letters in words."""
+def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, most: int) -> DataFrame:
+    """text, toxic and weight of about ``most`` labelled documents of each class, each text once.
+
+    A text with both labels is toxic. Near copies, which mostly share the two least hashes of their long words, have
+    weight 1 together, as chance words of one text would else look typical.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & (fold_of(F.col(key)) != 0)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
+    chosen = sampled(known, "toxic", key, most)
+    # the sample's keys, of which there are about twice ``most``
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(chosen.withColumnRenamed(key, "key")), "key")
+    rows = rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    long = F.transform(F.filter(F.split("text", " "), lambda w: F.length(w) >= 8), lambda w: F.xxhash64(w))
+    least = F.when(F.size(long) > 1, F.slice(F.array_sort(F.array_distinct(long)), 1, 2)).otherwise(F.array(F.xxhash64("text")))
+    rows = staged(rows.withColumn("least", least), "labelled")
+    sizes = rows.groupBy("least", "toxic").agg((1 / F.count("*")).alias("weight"))
+    return staged(rows.join(sizes, ["least", "toxic"]).select("text", "toxic", "weight"), "weighted")
+
+
+def _counted(rows: DataFrame, scan, found: str) -> DataFrame:
+    """word, t and c: weights of the toxic and of the clean documents with it."""
+    parts = rows.mapInArrow(scan, f"word {found}, t double, c double")
+    return parts.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+
+
+def _run_counts(rows: DataFrame) -> DataFrame:
+    """The weights of documents with each run of RUN_SYMBOLS symbols; a run is its symbols in base 32 behind a one."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, 1 << 20):
-            code, starts, row = units(batch.column(text))
-            toxic = np.array(batch.column("toxic").to_pylist(), np.int32)
+        for batch in steps(batches, "text"):
+            code, starts, row = units(batch.column("text"))
+            toxic, weight = batch.column("toxic").to_numpy().astype(bool), batch.column("weight").to_numpy()
+            word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(code))))
+            keys, docs = [], []
+            for run in RUN_SYMBOLS:
+                n = len(code) - run + 1
+                if n > 0:
+                    whole = np.flatnonzero(word[:n] == word[run - 1 :])
+                    keys.append(sum(code[whole + k].astype(np.int64) << 5 * (run - 1 - k) for k in range(run)) + (1 << 5 * run))
+                    docs.append(row[word[whole]])
+            if keys:
+                both = np.unique(np.stack((np.concatenate(keys), np.concatenate(docs))), axis=1)
+                key, at = np.unique(both[0], return_inverse=True)
+                t = np.bincount(at, weight[both[1]] * toxic[both[1]], len(key))
+                c = np.bincount(at, weight[both[1]] * ~toxic[both[1]], len(key))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(t), pa.array(c)], names=["word", "t", "c"])
+
+    return _counted(rows, scan, "bigint")
+
+
+def _run(key: int) -> str:
+    """The symbols of a run as a text."""
+    out = ""
+    while key > 1:
+        out = chr(64 + (key & 31)) + out
+        key >>= 5
+    return out
+
+
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """The weights of documents with each word of at least three letters, as a text of symbols with its borders."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            code, starts, row = units(batch.column("text"))
+            whole = (code + 64).astype(np.uint8).tobytes().decode("latin-1")
             ends = np.append(starts[1:], len(code))
-            if run:
-                word = np.repeat(np.arange(len(starts)), ends - starts)
-                at = np.flatnonzero(np.arange(len(code)) + run <= ends[word])
-                key = sum(code[at + k].astype(np.int64) << 5 * (run - 1 - k) for k in range(run)) + (row[word[at]] << 5 * run)
-                key = np.unique(key)
-                found = [("".join(chr(64 + (k >> 5 * j & 31)) for j in range(run - 1, -1, -1)), toxic[k >> 5 * run]) for k in key.tolist()]
-            else:
-                whole = (code + 64).astype(np.uint8).tobytes().decode("latin-1")
-                found = [(w, toxic[r]) for r, w in {(r, whole[a:b]) for r, a, b in zip(row.tolist(), starts.tolist(), ends.tolist()) if 3 <= b - a <= 24}]
-            yield pa.RecordBatch.from_arrays([pa.array([t for _, t in found], pa.int32()), pa.array([w for w, _ in found], pa.string())], names=["toxic", "word"])
+            toxic, weight = batch.column("toxic").to_pylist(), batch.column("weight").to_pylist()
+            t: dict[str, float] = {}
+            c: dict[str, float] = {}
+            for r, w in sorted({(r, whole[a:b]) for r, a, b in zip(row.tolist(), starts.tolist(), ends.tolist()) if b - a >= 5}):
+                own = t if toxic[r] else c
+                own[w] = own.get(w, 0.0) + weight[r]
+            names = sorted(t.keys() | c.keys())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([t.get(w, 0.0) for w in names], pa.float64()), pa.array([c.get(w, 0.0) for w in names], pa.float64())], names=["word", "t", "c"])
 
-    pairs = rows.mapInArrow(scan, "toxic int, word string")
-    return pairs.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    return _counted(rows, scan, "string")
+
+
+def _surprise(share: float):
+    """How unlikely it is that a run's documents are so toxic by chance, as a logarithm."""
+    n = F.col("t") + F.col("c")
+    return F.col("t") * F.log(F.col("t") / n / share) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / n / (1 - share))).otherwise(0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = SAMPLE_DOCUMENTS) -> Machine:
     """A machine from about ``most`` labelled documents of each class outside fold 0; whole texts are read.
 
-    Without documents of both classes it takes nothing for toxic. Several labels of one key count as their largest.
+    Without documents of both classes it takes nothing for toxic. Several labels of one key count as their largest;
+    equal texts count once; null labels and texts are left out. The same rows give the same machine.
     """
-    known = labels.where(F.col(label).isin(0, 1) & (fold_of(F.col(key)) != 0)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
-    chosen = sampled(known, "toxic", key, most)
-    # near copies mostly share the least hashes of long words, and would make chance words of one text look typical
-    long = F.transform(F.filter(F.split(text, " "), lambda w: F.length(w) >= 8), lambda w: F.xxhash64(w))
-    least = F.when(F.size(long) > 1, F.slice(F.array_sort(F.array_distinct(long)), 1, 2)).otherwise(F.array(F.xxhash64(text)))
-    # the sample's keys, of which there are about twice ``most``
-    rows = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(chosen), key).select(text, "toxic").dropDuplicates([text])
-    rows = staged(rows.withColumn("least", least).dropDuplicates(["least", "toxic"]).select(text, "toxic"), "labelled")
-    size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    rows = _labelled(docs, labels, text, key, label, most)
+    size = {r["toxic"]: r["w"] for r in rows.groupBy("toxic").agg(F.sum("weight").alias("w")).collect()}
     quiet = Machine(np.zeros(SYMBOLS**3, np.float32))
     if len(size) < 2:
         return quiet
-    letters = staged(_distinct(rows, text, RUN_LETTERS).where("t > 0"), "runs")
-    share, n = size[1] / (size[0] + size[1]), F.col("t") + F.col("c")
-    chance = F.col("t") * F.log(F.col("t") / n / share) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / n / (1 - share))).otherwise(0.0)
-    marking = letters.where((F.col("t") / n > 0.9) & (chance > float(np.log(letters.count() + 1) + SURPRISE)))
-    runs = [r["word"] for r in marking.orderBy(F.desc("t"), "word").limit(POSITIVE_WORDS).collect()]
-    words = staged(_distinct(rows, text), "words")
-    has = F.arrays_overlap(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - RUN_LETTERS + 1, F.lit(1))), lambda i: F.substring("word", i, F.lit(RUN_LETTERS))), F.array(*map(F.lit, runs)).cast("array<string>"))
-    holders = words.where(has & (F.col("t") > 0))
-    marks = holders.where((F.col("t") / n > 0.9) & (chance > float(np.log(holders.count() + 1) + SURPRISE))).orderBy(F.desc("t"), "word").limit(POSITIVE_WORDS)
-    positive = [r["word"] for r in marks.collect()]
-    clean = words.where((F.col("c") > 0) & ~has)
-    negative = [r["word"] for r in clean.orderBy(F.xxhash64("word")).limit(NEGATIVE_WORDS).collect()]
+    spark = docs.sparkSession
+    counted = staged(_run_counts(rows).where("t > 0"), "runs")
+    bound = float(np.log(counted.count() + 1) + SURPRISE)
+    share = size[1] / (size[0] + size[1])
+    marking = counted.where((F.col("t") > min(0.9, LIFT * share) * (F.col("t") + F.col("c"))) & (_surprise(share) > bound))
+    runs = frozenset(_run(r["word"]) for r in marking.collect())  # each needs several of the sample's documents
+    known = spark.sparkContext.broadcast(runs)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = [any(w[i : i + n] in known.value for n in RUN_SYMBOLS for i in range(len(w) - n + 1)) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(has, pa.bool_())], names=[*batch.schema.names, "has"])
+
+    words = staged(_word_counts(rows).mapInArrow(mark, "word string, t double, c double, has boolean"), "words")
+    toxic = F.col("has") & (F.col("t") > WORD_SHARE * (F.col("t") + F.col("c")))
+    positive = [r["word"] for r in words.where(toxic).orderBy("word").collect()]
+    alike = [r["word"] for r in words.where(F.col("has") & ~toxic).orderBy("word").collect()]
+    clean = words.where((F.col("c") > 0) & ~F.col("has")).select("word")
+    negative = alike + [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(ROUND_WORDS).collect()]
     if not positive or not negative:
         return quiet
-    for k in range(ROUNDS):
+    for _ in range(ROUNDS):
         machine = fit_words(positive, negative)
-        if k + 1 == ROUNDS:
-            break
-        broadcast = docs.sparkSession.sparkContext.broadcast(machine)
+        now, told = spark.sparkContext.broadcast(machine), spark.sparkContext.broadcast(frozenset(negative))
 
-        def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def beyond(batches: Iterator[pa.RecordBatch], now=now, told=told) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                code, starts = packed(batch.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(margins(code, starts, broadcast.value.weights, broadcast.value.bias))], names=["word", "value"])
+                value = margins(*packed(batch.column(0).to_pylist()), now.value.weights, now.value.bias)
+                out = np.array([w not in told.value for w in batch.column(0).to_pylist()], bool) & (value > -0.9)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["word", "value"]).filter(pa.array(out))
 
-        hard = clean.select("word").mapInArrow(value, "word string, value double").where("value > -0.7").orderBy(F.desc("value"), "word").limit(HARD_WORDS)
-        negative = list(dict.fromkeys(negative + [r["word"] for r in hard.collect()]))
-    broadcast = docs.sparkSession.sparkContext.broadcast(machine)
+        hard = clean.mapInArrow(beyond, "word string, value double").orderBy(F.desc("value"), "word").limit(ROUND_WORDS).collect()
+        if not hard:
+            break
+        negative += [r["word"] for r in hard]
+    broadcast = spark.sparkContext.broadcast(machine)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, 1 << 20):
-            x = broadcast.value.document(batch.column(text))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "top", "many"])
+        for batch in steps(batches, "text"):
+            x = broadcast.value.document(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "top", "many", "sure"])
 
-    got = rows.mapInArrow(measure, "toxic int, top double, many double").toPandas()
-    machine.logistic = _logistic(got[["top", "many"]].to_numpy(), got["toxic"].to_numpy().astype(float))
+    got = rows.mapInArrow(measure, "toxic int, top double, many double, sure double").orderBy("toxic", "top", "many", "sure").collect()
+    machine.logistic = _logistic(np.array([tuple(r)[1:] for r in got]), np.array([float(r["toxic"]) for r in got]))
     return machine
 
 
