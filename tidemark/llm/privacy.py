@@ -1,10 +1,11 @@
 """Personal data by patterns, and information-theoretic sanitisation of what gives it away.
 
-Addresses, numbers and phones are found by fixed patterns. Over the whole corpus, words near each protected value
-are counted with it and without it. A word that makes the value likely (its share of documents that also hold the
-value near it) and far likelier than by chance (normalised pointwise mutual information) discloses it; such words
-are marked wherever they stand, then removed or put under a general name. Copies of one passage count as one
-piece of evidence.
+Addresses, numbers and phones are found by fixed patterns, secrets (keys, tokens) by the information that a string of
+letters and digits holds. Protected entities are single values, and each kind of them. Over the whole corpus, words
+near each entity are counted with it and without it. A word that makes the entity likely (its share of documents that
+also hold the entity near it) and far likelier than by chance (normalised pointwise mutual information) discloses it;
+such words are marked wherever they stand, then removed or put under a general name. Copies of one passage count as
+one piece of evidence.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged, steps
+from .shared import sieve, sifted, staged, steps
 
-KINDS = ("email", "ip", "card", "phone", "term")
+KINDS = ("email", "ip", "card", "phone", "secret", "term")
+SECRET, TERM = 4, 5
+#: Symbols of a secret at least, and its information: length times the entropy of its symbols, in bits.
+SECRET_SYMBOLS, SECRET_BITS = 20, 64.0
 #: Code points on each side of a protected value whose words count as near it.
 NEAR = 80
 #: Different passages that must hold word and value together before the word may disclose it.
@@ -30,8 +34,10 @@ LEAST_PASSAGES = 3
 LEAST_SHARE, LEAST_INFORMATION = 0.5, 0.5
 #: From this share on a disclosing word is removed; below it is generalised.
 REMOVE_SHARE = 0.9
-#: Words looked up at once in a pass over the documents; more words take more passes.
+#: Words marked in one pass over the documents; more words take more passes, beside each other.
 BLOCK_WORDS = 100_000
+#: Words whose membership a task remembers; then it starts anew.
+REMEMBERED = 1 << 19
 
 # fixed values: what the patterns are
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -41,6 +47,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{4,}")
+_SECRET = re.compile(rf"[A-Za-z0-9+/_-]{{{SECRET_SYMBOLS},}}")
 
 
 def luhn(digits: str) -> bool:
@@ -85,8 +92,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def protected_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of all base matches and of secrets that touch none, in order."""
+    out = base_spans(text)
+    base, at = out[:], 0
+    for m in _SECRET.finditer(text):
+        a, b = m.span()
+        while at < len(base) and base[at][2] <= a:
+            at += 1
+        if (at == len(base) or base[at][0] >= b) and _information(m[0]) >= SECRET_BITS:
+            out.append((a, SECRET, b))
+    return sorted(out)
+
+
+def _information(symbols: str) -> float:
+    """Bits of a string of letters and digits by how often each symbol is in it; 0 without both or with a plain word in it."""
+    if not _DIGIT.search(symbols) or not any(c.isalpha() for c in symbols) or max(map(len, re.findall(r"[^0-9]+", symbols))) > 12:
+        return 0.0
+    n = np.array(list(Counter(symbols).values()), float)
+    return float(-(n * np.log2(n / n.sum())).sum())
+
+
 def _value(text: str, kind: int) -> str:
-    return f"{kind}:{text.lower() if kind < 2 else ''.join(c for c in text if c.isdigit())}"
+    return f"{kind}:{text.lower() if kind < 2 else text if kind == SECRET else ''.join(c for c in text if c.isdigit())}"
 
 
 def _outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
@@ -97,10 +125,11 @@ def _outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
     return (m[0].lower() for m in _TERM.finditer(text) if not covered[m.start() : m.end()].any())
 
 
-def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
+def evidence(docs: DataFrame, text: str = "text", kinds: bool = False) -> DataFrame:
     """value and word (hashed value, small letters), documents that have the word near the value, and passages.
 
-    A row without a word has the documents that hold the value at all.
+    A row without a word has the documents that hold the value at all. With ``kinds``, each kind of value counts as a
+    value too.
     Words that are part of the value count like all others: beside an address the name in it gives most away.
     """
 
@@ -108,7 +137,7 @@ def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in steps(batches, text):
             found: Counter = Counter()
             for x in batch.column(text).to_pylist():
-                spans = base_spans(x) if x else []
+                spans = protected_spans(x) if x else []
                 pairs: dict[tuple[int, str], set[int]] = {}
                 values = set()
                 for start, kind, end in spans:
@@ -116,11 +145,11 @@ def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
                     after = x[end : end + NEAR].lower()
                     # a word cut off by the border of the stretch is left out
                     words = {m[0] for m in _TERM.finditer(before) if m.start() or start <= NEAR} | {m[0] for m in _TERM.finditer(after) if m.end() < len(after) or end + NEAR >= len(x)}
-                    value = xxh3_64_intdigest(_value(x[start:end], kind)) >> 1
-                    values.add(value)
                     passage = xxh3_64_intdigest(" ".join(sorted(words))) >> 1
-                    for w in words:
-                        pairs.setdefault((value, w), set()).add(passage)
+                    for value in (xxh3_64_intdigest(_value(x[start:end], kind)) >> 1, kind)[: 1 + kinds]:
+                        values.add(value)
+                        for w in words:
+                            pairs.setdefault((value, w), set()).add(passage)
                 for value in values:
                     found[value, None, 0] += 1
                 # the document counts with one of its passages, so that passages add up to documents
@@ -145,31 +174,43 @@ def _blocks(words: DataFrame, most: int = BLOCK_WORDS) -> Iterator[dict]:
 
 
 def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
-    """word and how many documents hold it outside base matches, over all documents."""
-    out = None
-    for block in _blocks(words):
-        if not block:
-            continue
-        broadcast = docs.sparkSession.sparkContext.broadcast(frozenset(block))
-
-        def count(batches: Iterator[pa.RecordBatch], broadcast=broadcast) -> Iterator[pa.RecordBatch]:
+    """word and how many documents hold it outside protected spans, over all documents, in one pass.
+
+    A sieve over the hashed words, as large as their number demands, lets few others through; these go in the join.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([xxh3_64_intdigest(w) >> 1 for w in batch.column(0).to_pylist()], pa.int64())], names=["id"])
+
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(staged(words.select("word").mapInArrow(number, "id bigint"), "wanted")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+        for batch in steps(batches, text):
             total: Counter = Counter()
-            for batch in steps(batches, text):
-                for x in batch.column(text).to_pylist():
-                    held = broadcast.value.intersection(_TERM.findall(x.lower())) if x else ()
-                    if held and (spans := base_spans(x)):
-                        held = held.intersection(_outside(x, spans))
-                    total.update(held)
+            for x in batch.column(text).to_pylist():
+                held = set(_TERM.findall(x.lower())) if x else set()
+                fresh = [w for w in held if w not in known]
+                if fresh:
+                    if len(known) > REMEMBERED:
+                        known.clear()
+                        fresh = list(held)
+                    ids = np.array([xxh3_64_intdigest(w) >> 1 for w in fresh], np.int64)
+                    known.update(zip(fresh, sifted(ids, bits.value).tolist()))
+                held = {w for w in held if known[w]}
+                if held and (spans := protected_spans(x)):
+                    held = held.intersection(_outside(x, spans))
+                total.update(held)
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
-        part = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-        out = part if out is None else out.union(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], "word string, n bigint")
+    counted = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.join(words.select("word"), "word", "left_semi")
 
 
 def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """word and share: words that disclose some protected value, with the largest share of their documents."""
-    seen = staged(evidence(docs, text).where(F.col("word").isNull() | (F.col("passages") >= LEAST_PASSAGES)), "evidence")
+    seen = staged(evidence(docs, text, kinds=True).where(F.col("word").isNull() | (F.col("passages") >= LEAST_PASSAGES)), "evidence")
     pairs = seen.where("word is not null")
     if pairs.isEmpty():
         return docs.sparkSession.createDataFrame([], "word string, share double")
@@ -184,42 +225,74 @@ def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return staged(both.where((share >= LEAST_SHARE) & (information >= LEAST_INFORMATION)).groupBy("word").agg(F.max(share).alias("share")), "disclosing")
 
 
+def _terms(x: str, spans: list[tuple[int, int, int]], disclosing: dict) -> list[tuple[int, int, float]]:
+    """(start, end, share) of the disclosing words of a text that touch no protected span."""
+    small = x.lower()
+    if len(small) != len(x):  # letters whose small form is longer: word by word
+        return [(m.start(), m.end(), disclosing[m[0].lower()]) for m in _TERM.finditer(x) if m[0].lower() in disclosing and not any(a < m.end() and m.start() < b for a, _, b in spans)]
+    if disclosing.keys().isdisjoint(_TERM.findall(small)):
+        return []
+    covered = np.zeros(len(x) + 1, bool)
+    for a, _, b in spans:
+        covered[a:b] = True
+    return [(m.start(), m.end(), disclosing[m[0]]) for m in _TERM.finditer(small) if m[0] in disclosing and not covered[m.start() : m.end()].any()]
+
+
+_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
+
+
+def _marked(batch: pa.RecordBatch, plain: list[str], text: str, terms) -> pa.RecordBatch:
+    """The rows with their spans; ``terms`` gives those of a row beside the protected ones."""
+    rows = []
+    for k, x in enumerate(batch.column(text).to_pylist()):
+        spans = protected_spans(x) if x else []
+        found = [(a, kind, b, None) for a, kind, b in spans] + [(a, TERM, b, share) for a, b, share in terms(k, x, spans)]
+        rows.append([{"kind": KINDS[kind], "start": a, "end": b, "share": share} for a, kind, b, share in sorted(found, key=lambda s: s[:3])])
+    return pa.RecordBatch.from_arrays([batch.column(c) for c in plain] + [pa.array(rows, pa.list_(_SPAN))], names=[*plain, "spans"])
+
+
 def find(docs: DataFrame, text: str = "text", words: DataFrame | None = None) -> DataFrame:
     """``docs`` with spans: an array of (kind, start, end, share), in code points, by start and then kind.
 
-    ``words`` are what disclosing_words gives (by default that of ``docs``). Null texts count as empty. Disclosing
-    words inside base matches are not marked again. A column named spans is replaced.
+    ``words`` are what disclosing_words gives (by default that of ``docs``). Null texts count as empty, repeated rows
+    are marked alike. Disclosing words inside protected spans are not marked again. A column named spans is replaced.
     """
     words = disclosing_words(docs, text) if words is None else words
-    kind = "array<struct<kind: string, start: bigint, end: bigint, share: double>>"
-    out = docs.drop("spans")
-    plain = out.columns
-    for block in _blocks(words):
-        broadcast = docs.sparkSession.sparkContext.broadcast(block)
-
-        def mark(batches: Iterator[pa.RecordBatch], broadcast=broadcast) -> Iterator[pa.RecordBatch]:
-            disclosing = broadcast.value
+    rest = docs.drop("spans")
+    plain, spark = rest.columns, docs.sparkSession
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest.schema) + "spans array<struct<kind: string, start: bigint, end: bigint, share: double>>"
+    blocks = [spark.sparkContext.broadcast(block) for block in _blocks(words)]
+    if len(blocks) == 1:
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            disclosing = blocks[0].value
             for batch in steps(batches, text):
-                earlier = batch.column("spans").to_pylist() if "spans" in batch.schema.names else [[]] * batch.num_rows
-                rows = []
-                for x, had in zip(batch.column(text).to_pylist(), earlier):
-                    base = base_spans(x) if x else []
-                    found = [(a, k, b, None) for a, k, b in base]
-                    found += [(s["start"], 4, s["end"], s["share"]) for s in had if s["kind"] == "term"]
-                    small = x.lower() if x and disclosing else ""
-                    if small and len(small) == len(x) and not disclosing.keys().isdisjoint(_TERM.findall(small)):
-                        covered = np.zeros(len(x) + 1, bool)
-                        for a, _, b in base:
-                            covered[a:b] = True
-                        found += [(m.start(), 4, m.end(), disclosing[m[0]]) for m in _TERM.finditer(small) if m[0] in disclosing and not covered[m.start() : m.end()].any()]
-                    elif small and len(small) != len(x):  # letters whose small form is longer: word by word
-                        found += [(m.start(), 4, m.end(), disclosing[m[0].lower()]) for m in _TERM.finditer(x) if m[0].lower() in disclosing and not any(a < m.end() and m.start() < b for a, _, b in base)]
-                    rows.append([{"kind": KINDS[k], "start": a, "end": b, "share": s} for a, k, b, s in sorted(found, key=lambda s: s[:3])])
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in plain] + [pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])))], names=[*plain, "spans"])
-
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if f.name != "spans")
-        out = out.mapInArrow(mark, f"{schema}, spans {kind}")
-    return out
+                yield _marked(batch, plain, text, lambda _, x, spans: _terms(x, spans, disclosing) if x and disclosing else [])
+
+        return rest.mapInArrow(mark, schema)
+
+    at = "_row" + "_" * max(map(len, plain))  # longer than any name there
+    kept = staged(rest.withColumn(at, F.monotonically_increasing_id()), "texts")
+    term, found = "array<struct<start: bigint, end: bigint, share: double>>", None
+    for block in blocks:
+
+        def meet(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for batch in steps(batches, text):
+                rows = [(r, [{"start": a, "end": b, "share": s} for a, b, s in _terms(x, protected_spans(x), block.value)]) for r, x in zip(batch.column(at).to_pylist(), batch.column(text).to_pylist()) if x]
+                rows = [r for r in rows if r[1]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.struct(list(_SPAN)[1:])))], names=[at, "terms"])
+
+        own = kept.select(at, text).mapInArrow(meet, f"{at} bigint, terms {term}")
+        found = own if found is None else found.unionByName(own)
+    found = staged(found, "terms").groupBy(at).agg(F.flatten(F.collect_list("terms")).alias("terms" + at))
+    joined = kept.join(found, at, "left").select(*plain, "terms" + at)
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, text):
+            terms = batch.column("terms" + at).to_pylist()
+            yield _marked(batch, plain, text, lambda k, _x, _s: [(t["start"], t["end"], t["share"]) for t in terms[k] or ()])
+
+    return joined.mapInArrow(unite, schema)
 
 
 def sanitise(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:

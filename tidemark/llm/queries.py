@@ -60,7 +60,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = privacy.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = F.filter("spans", lambda s: s["kind"] != "term")
+    base = F.filter("spans", lambda s: s["kind"].isin(*privacy.KINDS[:4]))
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
