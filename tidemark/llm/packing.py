@@ -26,7 +26,7 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Words kept with their ids in a Python worker; beyond it the table starts afresh, which changes no result.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 
 PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, place bigint"

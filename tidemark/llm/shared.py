@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step works on; a longer document is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 #: Folders made where no shared one is named, by application.

@@ -42,6 +42,8 @@ RUN_SYMBOLS, SURPRISE, LIFT, WORD_SHARE = (4, 5, 6), 3.0, 3.0, 0.5
 DECAY, STRETCH = 0.6, 5
 #: Symbols of the pieces that a longer word is also scored by; pieces overlap by half.
 PIECE = 24
+#: Text bytes of a numpy step; some twenty numbers are held for each.
+STEP = 1 << 18
 SYMBOLS = 32
 # fixed values: characters that stand for letters
 LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -276,7 +278,7 @@ def _run_counts(rows: DataFrame) -> DataFrame:
     """The weights of documents with each run of RUN_SYMBOLS symbols; a run is its symbols in base 32 behind a one."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             code, starts, row = units(batch.column("text"))
             toxic, weight = batch.column("toxic").to_numpy().astype(bool), batch.column("weight").to_numpy()
             word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(code))))
@@ -310,7 +312,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     """The weights of documents with each word of at least three letters, as a text of symbols with its borders."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             code, starts, row = units(batch.column("text"))
             whole = (code + 64).astype(np.uint8).tobytes().decode("latin-1")
             ends = np.append(starts[1:], len(code))
@@ -381,7 +383,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     broadcast = spark.sparkContext.broadcast(machine)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             x = broadcast.value.document(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "top", "many", "sure"])
 
@@ -399,7 +401,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     plain, broadcast = rest.columns, docs.sparkSession.sparkContext.broadcast(machine)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, 1 << 20):
+        for batch in steps(batches, text, STEP):
             p = broadcast.value.score(batch.column(text))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in plain] + [pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*plain, "score", "predicted"])
 
