@@ -4,7 +4,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import change, gates, identity, match, runs, search, views
+from tidemark.functions import canon
+from tidemark.operators import audit, catalog, change, gates, identity, match, policy, runs, search, views
 from tidemark.operators.change import ChangeSpec, reconcile
 from tidemark.plans.queries import QUERIES
 
@@ -84,7 +85,7 @@ def test_health(spark):
 
 
 def test_privacy(spark):
-    texts = ["plain", "write to x@gmail.com", "x@council.example", "Tel: 612 345 678", "lot 612345678", "id 12345678Z here", "ES91 2100 0418 4502 0005 1332", "calle Mayor, 12", None]
+    texts = ["plain", "write to x@gmail.com", "x@council.example", "Tel: 612 345 678", "lot 612345678", "id 12345678Z here", "ES91 2100 0418 4502 0005 1332", "domicilio particular: calle Mayor 12", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = gates.privacy_decision(df, {"title": F.col("t")}).collect()
     assert [r["privacy_reasons"] for r in got] == [[], ["consumer_email:title"], [], ["contextual_phone:title"], [], ["personal_identifier:title"], ["bank_account:title"], ["private_address:title"], []]
@@ -105,7 +106,7 @@ def test_dictionary(spark, monkeypatch):
     names = spark.createDataFrame([("Y", "York"), ("NY", "New York"), ("N", "new")], "c string, n string")
     assert rows(match.dictionary_match(texts, "id", F.col("t"), names, "c", F.col("n"))) == [(1, "N", 1), (1, "NY", 1), (1, "Y", 1)]
     monkeypatch.setattr(match, "MOST_NAMES", 1)
-    assert rows(match.dictionary_match(texts, "id", F.col("t"), names, "c", F.col("n"))) == [(1, "N", 2), (1, "NY", 1), (1, "Y", 2)]
+    assert rows(match.dictionary_match(texts, "id", F.col("t"), names, "c", F.col("n"))) == [(1, "N", 1), (1, "NY", 1), (1, "Y", 1)]
     assert match.dictionary_match(texts, "id", F.col("t"), names.limit(0), "c", F.col("n")).count() == 0
 
 
@@ -144,3 +145,73 @@ def test_term_statistics_of_all_documents(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["term"]: (r["documents"], r["weight"]) for r in QUERIES["term_statistics"](spark, str(tmp_path)).collect()}
     assert got == {"the": (2, 3), "haus": (2, 2), "das": (1, 1), "été": (1, 2), "the_1": (1, 1)}
+
+
+def test_privacy_rules_take_stated_addresses_and_grouped_ids(spark):
+    texts = ["calle Mayor, 12", "Dirección de uso personal: Mayor 3, bajo", "12.345.678-Z", "X-1234567-L", "12345678A", "2026-09-23 y 964 123 456", "(ann@proton.me)", "x@mail.proton.me"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["privacy_reasons"] for r in gates.privacy_decision(df, {"title": F.col("t")}).collect()]
+    assert got == [[], ["private_address:title"], ["personal_identifier:title"], ["personal_identifier:title"], [], [], ["consumer_email:title"], []]
+    tax = [r["privacy_reasons"] for r in gates.privacy_decision(df, {"tax_identifier": F.col("t")}).collect()]
+    assert tax[2] == ["personal_identifier:tax_identifier"] and tax[4] == ["ambiguous_tax_identifier:tax_identifier"]
+    long = spark.createDataFrame([("a." * 200_000,)], "t string")  # no quadratic search
+    assert gates.privacy_decision(long, {"title": F.col("t")}).first()["privacy"] == "allow"
+
+
+def test_history_that_returns(spark):
+    steps = [(1, "create", None, "a"), (2, "update", "a", "b"), (3, "update", "b", "a"), (4, "update", "b", "c")]
+    events = spark.createDataFrame([("r", *s) for s in steps] + [("q", *s) for s in steps[:2]] + [("z", *steps[0])], "record_id string, observed_at int, type string, previous_hash string, content_hash string")
+    known = spark.createDataFrame([("r", "c"), ("q", "a")], "record_id string, content_hash string")
+    assert rows(audit.validate_history(events, known)) == [("q", "tip_mismatch"), ("z", "event_without_record")]
+    assert audit.validate_history(events.limit(0), known).count() == 0
+
+
+def test_nested_changes(spark):
+    kind = "id int, body struct<a: struct<b: int, c: string>, l: array<struct<cve: string, t: string>>, m: struct<n: string>>"
+    a = spark.createDataFrame([(1, ((1, "x"), [("k", "t")], None)), (2, ((1, None), [], ("y",)))], kind)
+    b = spark.createDataFrame([(1, ((2, "x"), [("k", None)], ("z",))), (2, (None, [("q", "r")], ("y",)))], kind)
+    assert rows(change.diff_nested(a, b, "id", "body")) == [(1, "a.b", "1", "2"), (1, "l", '[{"cve":"k","t":"t"}]', '[{"cve":"k"}]'), (1, "m", None, '{"n":"z"}'), (2, "a", '{"b":1}', None), (2, "l", "[]", '[{"cve":"q","t":"r"}]')]
+    both = a.join(b.withColumnRenamed("body", "now"), "id")
+    assert rows(both.select("id", change.loses_nested(F.col("body"), F.col("now"), a.schema["body"].dataType))) == [(1, True), (2, True)]
+    same = a.select("id", change.loses_nested(F.col("body"), F.col("body"), a.schema["body"].dataType))
+    assert rows(same) == [(1, False), (2, False)]
+
+
+def test_policies_refuse_what_contradicts_itself():
+    rule = policy.PublicationRule("r-1", True, "1", "x", ("d",), ("title",), reasons_any=("m",), title_any=("t",))
+    with pytest.raises(ValueError):
+        policy.PublicationPolicy("p", True, None, (rule,))
+    with pytest.raises(ValueError):
+        policy.PublicationPolicy("p", False, None, (rule,))
+    with pytest.raises(ValueError):
+        policy.PublicationPolicy("p", True, "today", (rule,), ("1",))
+    with pytest.raises(ValueError):
+        policy.PublicationRule("r-1", True, "1", "x", ("d",), ("title",), title_any=("t",))
+
+
+def test_contained_spans(spark):
+    import random
+
+    rng = random.Random(5)
+    spans = [(rng.choice("ab"), s := rng.randrange(40), s + rng.randrange(9)) for _ in range(200)]
+    inside = {x for x in spans if any(y[0] == x[0] and y[1] <= x[1] and x[2] <= y[2] and y[2] - y[1] > x[2] - x[1] for y in spans)}
+    assert {tuple(r) for r in match.contained(spark.createDataFrame(spans, "g string, start int, end int"), "g", 8).collect()} == inside
+
+
+def test_links_and_displays(spark):
+    df = spark.createDataFrame([("www.town.example",), (" x.example",), ("ftp://x.example",), ("https://u@x.example",), ("https://x",), ("https://x.example:0/",), ("",), (None,)], "u string")
+    got = [(r[0]["transform"], r[0]["reason"]) for r in df.select(catalog.checked_link(F.col("u"))).collect()]
+    assert got == [("prefix_https_scheme", None), ("rejected", "whitespace_or_control_characters"), ("rejected", "scheme_not_allowed"), ("rejected", "userinfo_not_allowed"), ("rejected", "invalid_host"), ("rejected", "invalid_port"), ("absent", None), ("absent", None)]
+    at = spark.createDataFrame([("2024-05-03T10:00:00Z",), ("2024-02-30T10:00:00Z",), ("2024-05-03",), (None,)], "t string")
+    assert [r[0] for r in at.select(canon.instant_display(F.col("t"))).collect()] == ["3 de mayo de 2024, 12:00", "2024-02-30T10:00:00Z", "2024-05-03", "No disponible"]
+    names = spark.createDataFrame([("a.b/c d",)], "n string")
+    assert names.select(canon.safe_name(F.col("n"))).first()[0] == "a%2Eb%2Fc%20d"
+    base = F.lit("https://h.example/a/b.html")
+    assert [spark.range(1).select(canon.joined_url(base, F.lit(u))).first()[0] for u in ("c", "/c", "//x.example/c", "http://y")] == ["https://h.example/a/c", "https://h.example/c", "https://x.example/c", "http://y"]
+
+
+def test_excerpts_fold_and_keep_words(spark):
+    text = "word " * 100 + "Oposición local " + "tail " * 100
+    df = spark.createDataFrame([(text,), ("short oposicion",), ("none",), (None,)], "t string")
+    got = [r[0] for r in df.select(search.excerpt(F.col("t"), "oposición")).collect()]
+    assert got[0].startswith("…word") and got[0].endswith("tail…") and "Oposición" in got[0] and len(got[0]) <= 242 and got[1:] == ["short oposicion", None, None]

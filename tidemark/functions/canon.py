@@ -120,25 +120,43 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), lambda a, x: F.when(x == "", a).otherwise((a * 10 + x.cast("int")) % 97))
 
 
+def compact_id(text: Column) -> Column:
+    """An identifier without the separators it may have, in capitals."""
+    return F.upper(F.regexp_replace(text, r"[ .\-]", ""))
+
+
 def valid_iban(text: Column) -> Column:
-    """Whether the text has an account number's shape and its remainder by 97 is 1."""
+    """Whether the text has an account number's shape (15 to 34 characters) and its remainder by 97 is 1."""
     compact = F.upper(F.regexp_replace(text, r"[\s-]", ""))
-    moved = F.concat(F.substring(compact, 5, 30), F.substring(compact, 1, 4))
+    moved = F.concat(F.substring(compact, 5, 34), F.substring(compact, 1, 4))
     numbers = F.array_join(F.transform(F.split(moved, ""), lambda c: F.when(c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
     return compact.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$") & (F.when(numbers.rlike("^[0-9]+$"), mod97(numbers)) == 1)
 
 
 def valid_person_id(text: Column) -> Column:
     """Whether the text is a personal number with the right letter; X, Y, Z stand for 0, 1, 2 and K, L, M for none."""
-    compact = F.upper(F.regexp_replace(text, r"[\s.-]", ""))
+    compact = compact_id(text)
     digits = F.regexp_replace(F.translate(F.substring(compact, 1, 1), "XYZ", "012"), "[KLM]", "")
     number = F.concat(digits, F.substring(compact, 2, 7))
     return compact.rlike("^[0-9XYZKLM][0-9]{7}[A-Z]$") & (person_letter(number.try_cast("bigint")) == F.substring(compact, 9, 1))
 
 
+def tax_class(text: Column) -> Column:
+    """personal_identifier, legal_entity_tax_identifier, ambiguous_tax_identifier or null, by form and check characters."""
+    compact = compact_id(F.trim(text))
+    shape = compact.rlike("^(?:[0-9]{8}[A-Z]|[XYZKLM][0-9]{7}[A-Z]|[ABCDEFGHJNPQRSUVW][0-9]{7}[0-9A-J])$")
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    return F.when(sure(valid_person_id(compact)), "personal_identifier").when(sure(valid_company_id(compact)), "legal_entity_tax_identifier").when(shape, "ambiguous_tax_identifier")
+
+
+def unclassified_tax_shape(text: Column) -> Column:
+    """Whether a text that has no class still looks like an identifier: 8 to 12 plain letters and digits, one a digit."""
+    return F.trim(text).rlike("^(?=.*[0-9])[A-Za-z0-9]{8,12}$")
+
+
 def valid_company_id(text: Column) -> Column:
     """Whether the text is a company number whose check character fits its first letter."""
-    compact = F.upper(F.regexp_replace(text, r"[\s.-]", ""))
+    compact = compact_id(text)
     digit = lambda k: F.substring(compact, k, 1).try_cast("int")
     doubled = lambda k: F.floor(digit(k) * 2 / 10) + digit(k) * 2 % 10
     check = (10 - (doubled(2) + doubled(4) + doubled(6) + doubled(8) + digit(3) + digit(5) + digit(7)) % 10) % 10
@@ -161,3 +179,54 @@ def decoded_id(name: Column) -> Column:
 
 def is_upper_title(text: Column) -> Column:
     return (text != F.lower(text)) & (text == F.upper(text))
+
+
+def date_display(day: Column) -> Column:
+    """A day as "3 de mayo de 2024"."""
+    return F.concat_ws(" de ", F.day(day).cast("string"), F.element_at(F.array(*map(F.lit, MONTHS)), F.month(day)), F.date_format(day, "yyyy"))
+
+
+def instant_display(text: Column, zone: str = "Europe/Madrid") -> Column:
+    """An instant that declares its zone as day and time there; other texts as they are, "No disponible" for none."""
+    sound = text.rlike(r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})$") & F.substring(text, 1, 10).try_cast("date").isNotNull()
+    there = F.from_utc_timestamp(F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone()), zone)
+    said = F.concat(date_display(there), F.lit(", "), F.date_format(there, "HH:mm"))
+    return F.when(text.isNull() | (F.trim(text) == ""), "No disponible").when(F.coalesce(sound, F.lit(False)), F.coalesce(said, text)).otherwise(text)
+
+
+#: Names of authorities that say nothing.
+GENERIC_AUTHORITIES = ("LOCAL", "AUTONOMICA", "ESTADO", "OTROS")
+
+
+def search_text(title: Column, organisms: list[Column]) -> Column:
+    """What to ask a search engine: the title and the most specific name that says something; null without a title."""
+    plain = [squeeze(c) for c in organisms]
+    best = F.coalesce(*(F.when((c != "") & ~F.upper(c).isin(*GENERIC_AUTHORITIES), c) for c in plain))
+    return F.when(squeeze(title) != "", F.concat_ws(" ", squeeze(title), best))
+
+
+def search_url(base: str, text: Column) -> Column:
+    """The text as the query of an address, encoded as forms are."""
+    return F.concat(F.lit(f"{base}?q="), F.url_encode(text))
+
+
+def joined_url(base: Column, link: Column) -> Column:
+    """A link as it stands on a page: absolute ones as they are, others from the page's host or folder."""
+    root = F.concat(url_part(base, "scheme"), F.lit("://"), url_part(base, "host"))
+    folder = F.regexp_extract(url_part(base, "path"), "^(.*/)", 1)
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(url_part(base, "scheme"), F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, link))
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), link))
+    )
+
+
+def safe_name(text: Column) -> Column:
+    """A text as one path part: percent-encoded, points too, so no part is special to a file system."""
+    return F.replace(F.replace(F.url_encode(text), F.lit("+"), F.lit("%20")), F.lit("."), F.lit("%2E"))
+
+
+def slug_collisions(df, name: str, page: Column):
+    """Page names that several names share; none may."""
+    return df.select(F.col(name).alias("_n"), page.alias("slug")).groupBy("slug").agg(F.count_distinct("_n").alias("names")).where("names > 1")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from .identity import content_hash, event_id
 from .staging import staged
@@ -98,6 +99,76 @@ def diff_paths(previous: DataFrame, current: DataFrame, key: str, fields: list[s
     return p.join(c, key).select(key, F.explode(changed).alias("x")).select(key, "x.path", "x.old", "x.new")
 
 
+CHANGE = "array<struct<path: string, old: string, new: string>>"
+
+
+def nested_changes(previous: Column, current: Column, kind: DataType, path: str = "") -> Column:
+    """Every difference of two nested values as (path, old, new), values as JSON, in the order of sorted names.
+
+    Objects are walked, lists are compared whole. A block that only one side has is one difference at its own path.
+    """
+    told = F.array(F.struct(F.lit(path).alias("path"), _json(previous, kind).alias("old"), _json(current, kind).alias("new"))).cast(CHANGE)
+    none = F.array().cast(CHANGE)
+    if not isinstance(kind, StructType):
+        return F.when(previous.eqNullSafe(current), none).otherwise(told)
+    inner = [nested_changes(previous[f.name], current[f.name], f.dataType, f"{path}.{f.name}" if path else f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+    return F.when(previous.isNull() & current.isNull(), none).when(previous.isNull() | current.isNull(), told).otherwise(F.concat(*inner) if inner else none)
+
+
+def _json(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, (StructType, ArrayType)):
+        return F.to_json(value)
+    return value.cast("string")
+
+
+def diff_nested(previous: DataFrame, current: DataFrame, key: str, body: str) -> DataFrame:
+    """key, path, old and new of every difference between the nested columns ``body`` of rows of one key."""
+    kind = previous.schema[body].dataType
+    if kind != current.schema[body].dataType:
+        raise ValueError("diff: both sides need one schema")
+    both = previous.select(key, F.col(body).alias("_p")).join(current.select(key, F.col(body).alias("_c")), key)
+    return both.select(key, F.explode(nested_changes(F.col("_p"), F.col("_c"), kind)).alias("x")).select(key, "x.path", "x.old", "x.new")
+
+
+#: Names by which elements of two lists are the same thing, the first filled one counts.
+SHARED_KEYS = ("source_document_id", "cve", "source_url")
+
+
+def _found_less(current: Column, names: list[str], kind: StructType):
+    """Whether ``current`` has an element with the same last name, the earlier ones being empty, that lost something."""
+    *earlier, key = names
+    said = lambda x, n: F.coalesce(x[n].cast("string"), F.lit("")) != ""
+
+    def less(old: Column) -> Column:
+        found = said(old, key) & F.exists(current, lambda new: F.coalesce(new[key] == old[key], F.lit(False)) & loses_nested(old, new, kind))
+        for n in earlier:
+            found = found & ~said(old, n)
+        return found
+
+    return less
+
+
+def loses_nested(previous: Column, current: Column, kind: DataType) -> Column:
+    """Whether a nested value lost something that was there: a filled key is gone, a list is shorter, a text is empty, or
+    an element that a shared key finds again lost a field. Other replacements are ordinary changes."""
+    if isinstance(kind, StructType):
+        inner = [loses_nested(previous[f.name], current[f.name], f.dataType) for f in kind.fields]
+        lost = F.lit(False)
+        for x in inner:
+            lost = lost | x
+        return previous.isNotNull() & (current.isNull() | F.coalesce(lost, F.lit(False)))
+    if isinstance(kind, ArrayType):
+        shorter = (F.size(previous) > 0) & (current.isNull() | (F.size(current) < F.size(previous)))
+        out = F.coalesce(shorter, F.lit(False))
+        if isinstance(kind.elementType, StructType):
+            names = [k for k in SHARED_KEYS if k in kind.elementType.names]
+            for at in range(len(names)):
+                out = out | F.coalesce(F.exists(previous, _found_less(current, names[: at + 1], kind.elementType)), F.lit(False))
+        return out
+    gone = previous.isNotNull() & current.isNull()
+    return gone | F.coalesce((previous != "") & (current == ""), F.lit(False)) if isinstance(kind, StringType) else gone
+
+
 def loses_information(previous: Column, current: Column) -> Column:
     """Whether a map of texts lost a filled key or emptied it."""
     blank = lambda v: v.isNull() | (F.trim(v) == "")

@@ -17,7 +17,7 @@ def content_hash(fields: dict[str, Column]) -> Column:
 
 def token(stable: Column) -> Column:
     """A readable and a unique half of a stable name."""
-    return F.concat_ws("-", slug(stable, 64), F.substring(sha256(stable), 1, 16))
+    return F.concat(slug(stable, 64), F.lit("-"), F.substring(sha256(stable), 1, 16))
 
 
 def identify(df: DataFrame, source: Column, prefix: str = "rec", official_id: Column | None = None, case_number: Column | None = None, url: Column | None = None, fingerprint: list[Column] = ()) -> DataFrame:
@@ -40,11 +40,19 @@ def event_id(record_id: Column, kind: Column, previous: Column, current: Column)
     return F.concat(F.lit("evt-v1-"), sha256(F.concat(F.lit("["), F.concat_ws(",", said(record_id), said(kind), said(previous), said(current)), F.lit("]"))))
 
 
-def population_hash(df: DataFrame, by: list[str], key: Column, row: Column, parts: int = 1024) -> DataFrame:
+#: Rows whose hashes are gathered into one text, about.
+PART_ROWS = 4096
+
+
+def population_hash(df: DataFrame, by: list[str], key: Column, row: Column, parts: int | None = None) -> DataFrame:
     """A hash of each group's rows that no order changes: hashes of rows by key, gathered in parts, then once more.
 
-    Rows of a part are hashed together first, so a group of any size becomes at most ``parts`` short texts.
+    Rows of a part are hashed together first; there are as many parts as make each short (``parts`` fixes their number,
+    which is part of the hash, as is the largest group's size without it).
     """
+    if parts is None:
+        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        parts = 1 << max(0, (int(largest) // PART_ROWS).bit_length())
     part = F.pmod(F.xxhash64(key), F.lit(parts))
     small = df.groupBy(*by, part.alias("part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(sha256(row))), ""), 256).alias("h"), F.count("*").alias("n"))
     return small.groupBy(*by).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), ""), 256).alias("population_hash"))

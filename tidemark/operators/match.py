@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Names that one pattern may hold; a dictionary is collected up to here, and joined word by word beyond.
@@ -75,10 +75,11 @@ def outside(spans: Column, stronger: Column) -> Column:
 def contained(spans: DataFrame, group: str, width: int) -> DataFrame:
     """Spans of a group that lie inside a longer span of it; each span is no longer than ``width``.
 
-    Spans meet only in the stretches of ``width`` they touch, so a group is never compared with itself whole.
+    Spans are dealt to the stretches of ``width`` they touch, so a large group is many partitions; a longer span touches
+    all stretches that one inside it does. In order of start (longer ones first) a span lies inside another exactly if
+    the largest end so far reaches its own: no span is compared with another one.
     """
-    cell = lambda df: df.withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
-    inner = cell(spans.select(group, "start", "end").distinct())
-    outer = inner.select(group, "cell", F.col("start").alias("o_start"), F.col("end").alias("o_end"))
-    inside = (F.col("o_start") <= F.col("start")) & (F.col("end") <= F.col("o_end")) & (F.col("o_end") - F.col("o_start") > F.col("end") - F.col("start"))
-    return inner.join(outer, [group, "cell"]).where(inside).select(group, "start", "end").distinct()
+    each = spans.select(group, "start", "end").distinct()
+    dealt = each.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
+    earlier = Window.partitionBy(group, "_cell").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn("_reach", F.max("end").over(earlier)).where("_reach >= end").select(group, "start", "end").distinct()

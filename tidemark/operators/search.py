@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.canon import fold, squeeze
+from ..functions.canon import fold, fold_latin, squeeze
 
 WORDS = r"(?U)(\w+)"
 
@@ -38,12 +38,35 @@ def search(index: DataFrame, key: str, terms: list[str]) -> DataFrame:
     return hits.where(F.col("found") == len(wanted)).select(key, "score")
 
 
+#: Places that the title's words count as, beside the one they have.
+TITLE_WEIGHT = 2
+
+
+def titled_postings(docs: DataFrame, key: str, title: Column, text: Column, weight: int = TITLE_WEIGHT) -> DataFrame:
+    """Postings over title and text, without accents; a word of the title counts ``weight`` times more."""
+    both = F.array(F.struct(title.alias("t"), F.lit(1 + weight).alias("w")), F.struct(text.alias("t"), F.lit(1).alias("w")))
+    each = docs.select(key, F.explode(both).alias("x"))
+    return postings(each, key, F.col("x.t"), F.col("x.w"), folded=True)
+
+
 def excerpt(text: Column, term: str, most: int = 240) -> Column:
-    """Up to ``most`` characters around the first place of the term, a third of them before it; null without it."""
+    """Up to ``most`` characters around the first place of the term, a third of them before it; null without it.
+
+    Case and the accents of Western European letters don't matter. A shorter text is given whole; a longer one is cut
+    between words, with … where something is left out.
+    """
     plain = squeeze(text)
-    at = F.instr(F.lower(plain), term.lower())
-    start = F.greatest(at - most // 3, F.lit(1))
-    cut = F.substring(plain, start, F.lit(most))
-    before = F.when(start > 1, "…").otherwise("")
-    after = F.when(start + most <= F.length(plain), "…").otherwise("")
-    return F.when(at > 0, F.concat(before, F.trim(cut), after))
+    at = F.instr(fold_latin(plain), F.lit(term.lower().translate(str.maketrans("áàâäãéèêëíìîïóòôöõúùûüñç", "aaaaaeeeeiiiiooooouuuunc"))))
+    wanted = F.greatest(at - most // 3, F.lit(1))
+    rest = F.substring(plain, wanted, F.length(plain))
+    blank = F.instr(rest, " ")
+    start = F.when(wanted == 1, 1).when((blank > 0) & (wanted + blank - 1 < at), wanted + blank).otherwise(F.lit(1))
+    tail = F.substring(plain, start, F.lit(most))
+    cut = F.when(start + most > F.length(plain), tail).otherwise(F.regexp_replace(tail, r" [^ ]*$", ""))
+    before, after = F.when(start > 1, "…").otherwise(""), F.when(start + F.length(cut) <= F.length(plain), "…").otherwise("")
+    return F.when(at > 0, F.when(F.length(plain) <= most, plain).otherwise(F.concat(before, cut, after)))
+
+
+def first_excerpt(contexts: Column, term: str, most: int = 240) -> Column:
+    """The excerpt of the first context that holds the term."""
+    return F.try_element_at(F.filter(F.transform(contexts, lambda c: excerpt(c, term, most)), lambda x: x.isNotNull()), F.lit(1))

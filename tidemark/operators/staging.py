@@ -5,16 +5,28 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made where no shared one is named, by application.
+_LOCAL: dict[str, str] = {}
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` (a local folder only where it is unset) and read it back."""
-    spark = df.sparkSession
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session, whose executors are the driver, may do without."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        name = spark.sparkContext.applicationId
+        base = _LOCAL.get(name) or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        _LOCAL[name] = base
+    return base.rstrip("/")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

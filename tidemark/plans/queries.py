@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import canon
 from ..operators import change, gates, identity, match, runs, search, views
+from ..operators.staging import shared_dir
 from ..sources import trees
 from ..streaming import incremental
 
@@ -207,7 +208,7 @@ def checkpoint_window(spark, d):
 def overlap_reread(spark, d):
     rows = table(spark, d, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
     last = rows.agg(F.max("day").alias("last"))
-    windows = rows.join(F.broadcast(last))  # one row
+    windows = rows.crossJoin(F.broadcast(last))  # one row
     again = windows.where("day <= last").unionByName(windows.where("day > date_sub(last, 14)"))
     return again.dropDuplicates(["event_id"]).groupBy("event_type", "day").agg(F.count("*").alias("n"))
 
@@ -242,7 +243,7 @@ _CALLS = "regexp_matches(translate(lower(text), 'áàâäãéèêëíìîïóò
 def privacy_scan(spark, d):
     docs = table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     turns = table(spark, d, "conversations").select(F.concat(F.lit("c"), F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))).alias("id"), "text")
-    rules = gates.PrivacyRules(decisions={"consumer_email": "quarantine", "contextual_phone": "quarantine"}, mail_domains=(*gates.PrivacyRules().mail_domains, "mail6.example.com"))
+    rules = gates.PrivacyRules(decisions={"consumer_email": "quarantine", "contextual_phone": "quarantine"}, mail_domains=(*gates.MAIL_DOMAINS, "mail6.example.com"))
     found = gates.privacy_decision(docs.unionByName(turns), {"text": F.col("text")}, rules)
     return found.select("id", "privacy", F.array_join("privacy_reasons", ",").alias("reasons"))
 
@@ -403,10 +404,13 @@ def population_hash(spark, d):
 @query("SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def stream_dedupe_available_now(spark, d):
     """Reads the events as a stream of files, drops what was seen, and counts what the sink kept."""
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/tidemark/stream-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/tidemark/stream-{uuid.uuid4().hex}"
     kind = table(spark, d, "events").schema
     stream = incremental.read_stream(spark, f"{d}/events.parquet*", kind)
     seen = incremental.deduplicated(stream.select("event_id", "event_type", "ts"), ["event_id"], "ts")
     incremental.run_available(seen, f"{base}/checkpoint", incremental.append_once(f"{base}/rows", "event_id"))
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/rows")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+from . import records  # noqa: E402, F401 registers its queries here

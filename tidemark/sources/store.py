@@ -1,12 +1,13 @@
-"""Tables that only grow, and tables with one row per key, as versioned Parquet folders.
+"""Tables that only grow, and tables with one row per key, as Parquet folders written by plain Spark jobs.
 
-A version is a folder of its own, named by a number; the newest one with a success mark is the table. Writers make
-the next version from the one they read, and refuse if another writer was faster.
+A write adds one folder, named by a number: an append only its new rows, a merge the whole table with one row per key.
+The table is the newest whole folder and the appends after it that have a success mark. Writers name the next number,
+and refuse if another writer was there first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,24 +23,49 @@ class VersionedTable:
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def version(self) -> int:
-        """The newest complete version, 0 before the first."""
+    def _parts(self) -> dict[int, bool]:
+        """The complete folders by number, and whether each holds the whole table."""
         if not self._fs.exists(self._path(self.path)):
-            return 0
+            return {}
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        done = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))]
-        return max(done, default=0)
+        told = {n: n.removesuffix("-whole") for n in names if n.startswith("v")}
+        return {int(t[1:]): n.endswith("-whole") for n, t in told.items() if t[1:].isdigit() and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))}
+
+    def version(self) -> int:
+        """The newest complete version, 0 before the first."""
+        return max(self._parts(), default=0)
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.version() if version is None else version
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v}") if v else self.spark.createDataFrame([], self.schema)
+        parts = self._parts()
+        v = max(parts, default=0) if version is None else version
+        base = max((k for k, whole in parts.items() if whole and k <= v), default=0)
+        folders = [f"{self.path}/v{k}{'-whole' if parts[k] else ''}" for k in sorted(parts) if base <= k <= v]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
-    def commit(self, rows: DataFrame, base: int, partition_by: tuple[str, ...] = ()) -> int:
+    def get(self, key: str, value: object, partition: dict[str, object] | None = None) -> DataFrame:
+        """The rows of one key; filters on the key and on partition columns reach the scan."""
+        out = self.read().where(F.col(key) == F.lit(value))
+        for c, v in (partition or {}).items():
+            out = out.where(F.col(c) == F.lit(v))
+        return out
+
+    def scan(self, order: list[str], checks: Column | None = None, unique: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """All rows in order, and what is wrong with them: rows that fail ``checks`` and values of ``unique`` there twice."""
+        rows = self.read()
+        bad = rows.limit(0).select(F.lit("").alias("code"), F.lit("").alias("key"))
+        key = unique or order[-1]
+        if checks is not None:
+            bad = bad.unionByName(rows.where(~F.coalesce(checks, F.lit(False))).select(F.lit("row_invalid").alias("code"), F.col(key).cast("string").alias("key")))
+        if unique:
+            bad = bad.unionByName(rows.groupBy(unique).count().where("count > 1").select(F.lit("duplicate_key").alias("code"), F.col(unique).cast("string").alias("key")))
+        return rows.orderBy(*order), bad
+
+    def commit(self, rows: DataFrame, base: int, partition_by: tuple[str, ...] = (), whole: bool = True) -> int:
         """Write the version after ``base``; another writer that was there first makes it fail."""
-        target = f"{self.path}/v{base + 1}"
-        if self.version() != base or self._fs.exists(self._path(target)):
+        name = f"v{base + 1}"
+        if self.version() != base or any(self._fs.exists(self._path(f"{self.path}/{n}")) for n in (name, f"{name}-whole")):
             raise Conflict("the table has changed since it was read")
-        rows.write.partitionBy(*partition_by).mode("error").parquet(target)
+        rows.write.partitionBy(*partition_by).mode("error").parquet(f"{self.path}/{name}{'-whole' if whole else ''}")
         return base + 1
 
     def append(self, rows: DataFrame, key: str, ignoring: tuple[str, ...] = ()) -> int:
@@ -57,11 +83,16 @@ class VersionedTable:
         if not mine.join(known, key).where("_body <> _known").isEmpty():
             raise Conflict("a key is there with another content")
         fresh = mine.join(known, key, "left_anti").dropDuplicates([key]).drop("_body")
-        return base if fresh.isEmpty() else self.commit(now.unionByName(fresh), base)
+        return base if fresh.isEmpty() else self.commit(fresh, base, whole=False)
 
-    def merge(self, rows: DataFrame, key: str, deleted: str | None = None) -> int:
-        """Replace rows by key, and drop the keys whose ``deleted`` column is true; a key twice is a conflict."""
+    def merge(self, rows: DataFrame, key: str, deleted: str | None = None, allowed: Column | None = None) -> int:
+        """Replace rows by key, and drop the keys whose ``deleted`` column is true; a key twice is a conflict.
+
+        With ``allowed`` (checks, hashes and gates as one condition) a row that fails it stops the whole write.
+        """
         base = self.version()
+        if allowed is not None and not rows.where(~F.coalesce(allowed, F.lit(False))).isEmpty():
+            raise Conflict("a row may not be written")
         now = self.read(base)
         if not rows.groupBy(key).count().where("count > 1").isEmpty():
             raise Conflict("a key is written twice")
