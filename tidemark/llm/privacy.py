@@ -176,7 +176,7 @@ def _blocks(words: DataFrame, most: int = BLOCK_WORDS) -> Iterator[dict]:
 def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
     """word and how many documents hold it outside protected spans, over all documents, in one pass.
 
-    A sieve over the hashed words, as large as their number demands, lets few others through; these go in the join.
+    A sieve over the hashed words, as large as their number demands, lets few others through; these are counted too.
     """
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +187,14 @@ def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
+        total: Counter = Counter()
+
+        def told() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+            total.clear()
+            return out
+
         for batch in steps(batches, text):
-            total: Counter = Counter()
             for x in batch.column(text).to_pylist():
                 held = set(_TERM.findall(x.lower())) if x else set()
                 fresh = [w for w in held if w not in known]
@@ -202,10 +208,11 @@ def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
                 if held and (spans := protected_spans(x)):
                     held = held.intersection(_outside(x, spans))
                 total.update(held)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+            if len(total) > REMEMBERED // 4:
+                yield told()
+        yield told()
 
-    counted = docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.join(words.select("word"), "word", "left_semi")
+    return docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:

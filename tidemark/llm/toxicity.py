@@ -387,8 +387,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
             x = broadcast.value.document(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "top", "many", "sure"])
 
-    got = rows.mapInArrow(measure, "toxic int, top double, many double, sure double").orderBy("toxic", "top", "many", "sure").collect()
-    machine.logistic = _logistic(np.array([tuple(r)[1:] for r in got]), np.array([float(r["toxic"]) for r in got]))
+    got = rows.mapInArrow(measure, "toxic int, top double, many double, sure double").collect()
+    got = sorted(tuple(r) for r in got)  # a row for each of the sample's texts
+    machine.logistic = _logistic(np.array([r[1:] for r in got]), np.array([float(r[0]) for r in got]))
     return machine
 
 
