@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .letters import code_points, letters
-from .shared import steps
+from .shared import staged, steps
 
 #: Hash buckets of n-grams.
 BUCKETS = 1 << 13
@@ -78,25 +79,33 @@ class Model:
         return names, score, (score < self.least[best]) | (has == 0)
 
 
-def fit(vectors: np.ndarray, labels: list[str], centroids: int = CENTROIDS, seed: int = 7) -> Model:
-    """Centroids by spherical k-means within each language."""
-    if not len(vectors):
+def _clusters(own: np.ndarray, centroids: int = CENTROIDS, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Centroids of unit vectors by spherical k-means, and the cosine that all but REJECT_SHARE of them reach."""
+    now = own[np.random.default_rng(seed).permutation(len(own))[: min(centroids, len(own))]]
+    for _ in range(12):
+        home = (own @ now.T).argmax(1)
+        now = _unit(np.stack([own[home == c].sum(0) if (home == c).any() else now[c] for c in range(len(now))]))
+    return now, float(np.quantile((own @ now.T).max(1), REJECT_SHARE))
+
+
+def _idf(texts: int, holding: np.ndarray) -> np.ndarray:
+    return np.log((1 + texts) / (1 + holding)) + 0.1
+
+
+def _model(weights: np.ndarray, found: list[tuple[str, np.ndarray, float]]) -> Model:
+    """A model of each language's centroids."""
+    if not found:
         return Model([], np.zeros(BUCKETS), np.zeros((0, BUCKETS)), np.zeros(0, int), np.zeros(0))
-    weights = np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(0))) + 0.1
-    unit, names = _unit(np.log1p(vectors) * weights), sorted(set(labels))
-    owner, parts, least = [], [], []
-    rng, labels = np.random.default_rng(seed), np.array(labels)
-    for k, name in enumerate(names):
-        own = unit[labels == name]
-        now = own[rng.permutation(len(own))[: min(centroids, len(own))]]
-        for _ in range(12):
-            home = (own @ now.T).argmax(1)
-            now = _unit(np.stack([own[home == c].sum(0) if (home == c).any() else now[c] for c in range(len(now))]))
-        best = (own @ now.T).max(1)
-        parts.append(now)
-        owner += [k] * len(now)
-        least += [np.quantile(best, REJECT_SHARE)] * len(now)
-    return Model(names, weights, np.concatenate(parts), np.array(owner), np.array(least))
+    found = sorted(found, key=lambda x: x[0])
+    size = [len(c) for _, c, _ in found]
+    return Model([n for n, _, _ in found], weights, np.concatenate([c for _, c, _ in found]), np.repeat(np.arange(len(found)), size), np.repeat([x for _, _, x in found], size))
+
+
+def fit(vectors: np.ndarray, labels: list[str], centroids: int = CENTROIDS) -> Model:
+    """A model of counted vectors in memory."""
+    weights = _idf(len(vectors), (vectors > 0).sum(0)) if len(vectors) else np.zeros(BUCKETS)
+    unit, labels_ = _unit(np.log1p(vectors) * weights), np.array(labels)
+    return _model(weights, [(name, *_clusters(unit[labels_ == name], centroids)) for name in sorted(set(labels))])
 
 
 def fold_of(key: Column) -> Column:
@@ -115,7 +124,10 @@ def sampled(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", most: int = SAMPLE_TEXTS) -> Model:
-    """A model of the labels in ``docs`` outside fold 0, from about ``most`` whole texts of each."""
+    """A model of the labels in ``docs`` outside fold 0, from about ``most`` whole texts of each.
+
+    Each language is clustered by a task of its own; the driver holds centroids only. Repeated rows count as they stand.
+    """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (fold_of(F.col(key)) != 0)).select(key, text, label)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,18 +137,30 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "
                 at = np.flatnonzero(found[row])
                 yield pa.RecordBatch.from_arrays([batch.column(label).slice(row, 1), pa.array([at], pa.list_(pa.int32())), pa.array([found[row][at]], pa.list_(pa.int32()))], names=["label", "at", "n"])
 
-    got = sampled(rows, label, key, most).mapInArrow(vectors, "label string, at array<int>, n array<int>").orderBy("label", F.xxhash64("at", "n")).collect()
-    dense = np.zeros((len(got), BUCKETS))
-    for k, r in enumerate(got):
-        dense[k, r["at"]] = r["n"]
-    return fit(dense, [r["label"] for r in got])
+    got = staged(sampled(rows, label, key, most).mapInArrow(vectors, "label string, at array<int>, n array<int>"), "vectors")
+    holding = np.zeros(BUCKETS, np.int64)
+    for r in got.select(F.explode("at").alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect():  # a row for each bucket
+        holding[r["b"]] = r["n"]
+    weights = _idf(got.count(), holding)
+
+    def cluster(own: pd.DataFrame) -> pd.DataFrame:
+        """One language's sample: its centroids end to end."""
+        order = sorted(range(len(own)), key=lambda k: (own["at"].iloc[k].tolist(), own["n"].iloc[k].tolist()))
+        dense = np.zeros((len(own), BUCKETS))
+        for row, k in enumerate(order):
+            dense[row, own["at"].iloc[k]] = own["n"].iloc[k]
+        found, least = _clusters(_unit(np.log1p(dense) * weights))
+        return pd.DataFrame({"label": [own["label"].iloc[0]], "centroids": [found.ravel()], "least": [least]})
+
+    found = got.groupBy("label").applyInPandas(cluster, "label string, centroids array<double>, least double").collect()
+    return _model(weights, [(r["label"], np.array(r["centroids"]).reshape(-1, BUCKETS), r["least"]) for r in found])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", refuse: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score (cosine, 0 to 1) and rejected.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected; with ``refuse`` every rejected text
-    is ``und``. A model fitted on no texts answers ``und`` throughout. Result columns replace columns of these names.
+    is ``und``. A model fitted on no texts answers ``und`` throughout. Repeated rows are answered alike. Result columns replace columns of these names.
     """
     rest = docs.drop("lang_pred", "score", "rejected")
     plain, broadcast = rest.columns, docs.sparkSession.sparkContext.broadcast(model)
