@@ -413,4 +413,4 @@ def stream_dedupe_available_now(spark, d):
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
-from . import records  # noqa: E402, F401 registers its queries here
+from . import records, stores  # noqa: E402, F401 register their queries here

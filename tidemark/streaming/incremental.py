@@ -68,3 +68,27 @@ def state_changes(stream: DataFrame, key: str, content: str, order: str) -> Data
 
     rows = stream.select(F.col(key).cast("string").alias("record_id"), F.col(content).alias("content"), F.col(order).cast("string").alias("at"))
     return rows.groupBy("record_id").applyInPandasWithState(step, CHANGES, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def latest_by_key(path: str, key: str, version: str) -> Callable[[DataFrame, int], None]:
+    """A sink of the newest row of each key in a batch, in a folder for each batch; readers take the newest of all."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        newest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), version).alias("row"))
+        newest.select("row.*").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return sink
+
+
+def in_order(*sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Sinks one after the other: what a later one lacks after a failure, an earlier one tells, and the batch repeats."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        kept = batch.persist()
+        try:
+            for each in sinks:
+                each(kept, number)
+        finally:
+            kept.unpersist()
+
+    return sink
