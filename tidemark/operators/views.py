@@ -77,7 +77,7 @@ def symmetric_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def primary_date(published: Column, received: Column, detected: Column, source: Column) -> Column:
     """value and label of the date to show: publication, then a grant's reception, then the own detection."""
     got = F.when(source == "bdns", received)
-    label = F.when(published.isNotNull(), "Publicado").when(got.isNotNull(), "Recibida en BDNS").otherwise("Detectado por InfoCs")
+    label = F.when(published.isNotNull(), "Publicado").when(got.isNotNull(), "Recibida en BDNS").otherwise("Detectado")
     return F.struct(F.coalesce(published, got, detected).alias("value"), label.alias("label"))
 
 

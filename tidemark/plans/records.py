@@ -437,7 +437,7 @@ _MONTHS = "['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'ago
 
 @query(f"""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'bdns' ELSE 'boe' END AS s, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS p, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) + 1 END AS q, CAST(o_orderdate AS DATE) + 2 AS t, o_orderpriority FROM orders),
   w AS (SELECT *, coalesce(p, CASE WHEN s = 'bdns' THEN q END, t) AS v FROM r)
-  SELECT o_orderkey, v AS value, CASE WHEN p IS NOT NULL THEN 'Publicado' WHEN s = 'bdns' AND q IS NOT NULL THEN 'Recibida en BDNS' ELSE 'Detectado por InfoCs' END AS label, day(v) || ' de ' || {_MONTHS} || ' de ' || year(v) AS display,
+  SELECT o_orderkey, v AS value, CASE WHEN p IS NOT NULL THEN 'Publicado' WHEN s = 'bdns' AND q IS NOT NULL THEN 'Recibida en BDNS' ELSE 'Detectado' END AS label, day(v) || ' de ' || {_MONTHS} || ' de ' || year(v) AS display,
   CASE s WHEN 'boe' THEN 'Sección del BOE' ELSE 'Organismo' END AS authority_label, s <> 'boe' AS shows_level, CASE WHEN s = 'bdns' AND q IS NOT NULL THEN q END AS deadline FROM w""")
 def record_view(spark, d):
     n, day = F.col("o_orderkey"), F.to_date("o_orderdate")
