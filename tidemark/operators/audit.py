@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,6 +83,34 @@ def warning_counts(df: DataFrame, codes: str, domain: tuple[str, ...]) -> DataFr
     return each.groupBy(F.when(F.col("code").isin(*domain), F.col("code")).otherwise("other").alias("code")).agg(F.count("*").alias("n"))
 
 
+class _Walk:
+    """One record's history as far as it was seen: where it stands, and which hashes lead where."""
+
+    def __init__(self, key: object, now: str):
+        self.key, self.now, self.here, self.code = key, now, None, None
+        self.edges: dict[str, set[str]] = {}
+
+    def reaches(self, start: str, wanted: str) -> bool:
+        seen, todo = {start}, [start]
+        while todo and wanted not in seen:
+            new = self.edges.get(todo.pop(), set()) - seen
+            seen |= new
+            todo += new
+        return wanted in seen
+
+    def step(self, kind: str, before: str, after: str) -> None:
+        if kind != "create" and self.code is None:
+            self.here = before if self.here is None else self.here
+            if not self.reaches(self.here, before):
+                self.code = "disconnected_or_forked"
+            self.edges.setdefault(before, set()).add(after)
+        self.here = after
+
+    def verdict(self) -> list[tuple]:
+        code = self.code or (None if self.reaches(self.here, self.now) else "tip_mismatch")
+        return [(self.key, code)] if code else []
+
+
 def validate_history(events: DataFrame, records: DataFrame, key: str = "record_id", at: str = "observed_at") -> DataFrame:
     """``key`` and code of records whose events do not make one history that ends in the record's hash.
 
@@ -103,33 +132,26 @@ def validate_history(events: DataFrame, records: DataFrame, key: str = "record_i
     state = state.withColumn("code", plain)
     walk = state.where("code is null and (jumps > 0 or tip <> now)").select(key, "now")
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        edges: dict[str, set] = {}
-
-        def reached(start: str) -> set:
-            seen, todo = {start}, [start]
-            while todo:
-                new = edges.get(todo.pop(), set()) - seen
-                seen |= new
-                todo += new
-            return seen
-
-        group = group.sort_values(at)
-        code, here = None, None
-        for kind, before, after in zip(group["type"], group["previous_hash"], group["content_hash"]):
-            if kind != "create":
-                here = before if here is None else here
-                if before != here and before not in reached(here):
-                    code = "disconnected_or_forked"
-                    break
-                edges.setdefault(before, set()).add(after)
-            here = after
-        if code is None and group["now"].iloc[0] not in reached(here):
-            code = "tip_mismatch"
-        return pd.DataFrame({key: [group[key].iloc[0]], "code": [code]})
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by record and then instant; what is kept is one record's transitions."""
+        walk_: _Walk | None = None
+        for batch in batches:
+            out = []
+            for k, kind, before, after, now in zip(*(batch.column(c).to_pylist() for c in (key, "type", "previous_hash", "content_hash", "now"))):
+                if walk_ is None or walk_.key != k:
+                    out += walk_.verdict() if walk_ else []
+                    walk_ = _Walk(k, now)
+                walk_.step(kind, before, after)
+            yield told(out, batch.schema.field(key).type)
+        if walk_:
+            yield told(walk_.verdict(), batch.schema.field(key).type)
+
+    def told(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], kind), pa.array([c for _, c in found], pa.string())], names=[key, "code"])
 
     kind = events.schema[key].dataType.simpleString()
-    walked = rows.join(walk, key).groupBy(key).applyInPandas(fold, f"`{key}` {kind}, code string").where("code is not null")
+    sorted_ = rows.join(walk, key).repartition(key).sortWithinPartitions(key, at)
+    walked = sorted_.mapInArrow(fold, f"`{key}` {kind}, code string")
     return orphan.distinct().unionByName(state.where("code is not null").select(key, "code")).unionByName(walked)
 
 
