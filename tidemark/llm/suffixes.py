@@ -30,7 +30,7 @@ MATCH_BYTES = 400
 #: Places of a string that may hold its anchor, and bytes that an anchor's hash takes.
 PLACES, GRAM = 192, 16
 #: Suffixes of a run, and of a range, about; ranges at most; sampled suffixes for each range.
-RUN_SUFFIXES, RANGE_SUFFIXES, MOST_RANGES, SAMPLED = 40_000, 20_000, 16_384, 4
+RUN_SUFFIXES, RANGE_SUFFIXES, MOST_RANGES, SAMPLED = 40_000, 20_000, 16_384, 16
 _PLACE_BITS = np.uint64(28)
 _HEAD = struct.Struct("<HHHII")
 
@@ -240,7 +240,7 @@ def _splitters(held: DataFrame, total: int, match: int, places: int) -> list[byt
             own = [s[: match - places + 1] for _, at, s, _ in _contexts(batch, match, places) if (hash(s[:64]) if rate == 1 else int.from_bytes(hashlib.blake2b(s, digest_size=6).digest())) % rate == 0]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], names=["prefix"])
 
-    found = sorted({bytes(r["prefix"]) for r in held.mapInArrow(pick, "prefix binary").limit(4 * ranges * SAMPLED).collect()})
+    found = sorted({bytes(r["prefix"]) for r in held.mapInArrow(pick, "prefix binary").limit(2 * ranges * SAMPLED).collect()})
     return [found[len(found) * k // ranges] for k in range(1, ranges)] if len(found) >= ranges else found
 
 
