@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import LOWER, mix, row_of, runs, sieve, sifted, span_hashes, staged, steps, utf8
+from .shared import LOWER, join_hot, mix, row_of, runs, sieve, sifted, span_hashes, staged, steps, utf8
 
 SHINGLE_WORDS = 4
 #: Similarity in hundredths.
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     seen = staged(measure(docs, key, text, words, counters), "sets")
     rows = seen.where("chunk is null").select("node", "n", "f1", "f2")
     totals = _added(seen.where("chunk is not null").select("chunk", "counts"), counters)
-    groups = rows.where("n > 0 and node is not null").groupBy("n", "f1", "f2").agg(F.min("node").alias("lead"))
+    groups = staged(rows.where("n > 0 and node is not null").groupBy("n", "f1", "f2").agg(F.min("node").alias("lead"), F.count("*").alias("copies")), "groups")
     leads = groups.select(F.col("lead").alias("node"))
 
     prefixes = staged(_prefixes(docs, key, text, words, percent, totals).join(leads, "node", "left_semi"), "prefixes")
@@ -221,6 +221,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     more = staged(_verified(pairs.select("x", "y"), shapes, leads, sets, percent), "links")
     parts = staged(components(links.union(more), "x", "y"), "parts")
 
-    home = groups.join(parts.withColumnRenamed("node", "lead"), "lead", "left").select("n", "f1", "f2", F.coalesce("component", "lead").alias("component_id"))
-    joined = rows.join(home, ["n", "f1", "f2"], "left")
+    alike = F.struct("n", "f1", "f2")
+    home = groups.join(parts.withColumnRenamed("node", "lead"), "lead", "left").select(alike.alias("alike"), "copies", F.coalesce("component", "lead").alias("component_id"))
+    # rows without words or a key have no group; the rows of a very large one stay where they are
+    marked = rows.select("node", "n", F.when((F.col("n") > 0) & F.col("node").isNotNull(), alike).alias("alike"))
+    joined = join_hot(marked, staged(home, "homes"), "alike", "copies", rows.count())
     return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("node").isNotNull(), F.coalesce("component_id", "node")).alias("component_id"))

@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt anew where their files have fewer parts than the session has cores (one small file, say)."""
+    docs, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+
+
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -30,7 +36,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
@@ -48,18 +54,18 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
     held_out = (language.fold_of(F.col("doc_id")) == 0).alias("held_out")
     return toxicity.score(docs, machine).select("doc_id", held_out, "score", "predicted")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(documents(spark, sf_dir))
 
 
 def op9_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = privacy.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = privacy.find(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*privacy.KINDS[:4]))
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -70,7 +76,7 @@ def op9_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language.train(docs)
     held_out = (language.fold_of(F.col("doc_id")) == 0).alias("held_out")
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "lang_pred", "score", "rejected")
