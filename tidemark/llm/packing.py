@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import staged, steps
+from .shared import KEPT, staged, steps
 
 CAPACITY = 1024
 END_ID = 2
@@ -75,6 +75,7 @@ class WordIds(dict):
 
 
 _MODELS: dict[str, WordIds] = {}
+KEPT["packing"] = _MODELS.clear
 
 
 def word_ids(path: str) -> WordIds:
@@ -104,7 +105,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, task, seen = word_ids(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, keep="packing"):
             keys, piece, start, length, crc, place, ids = [], [], [], [], [], [], []
             for k, value in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist()):
                 all_ids = model.encode(value or "") + end

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +78,18 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_, bounds - bounds[0]
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches, each of at most ``limit`` text bytes unless one row alone has more."""
+#: What a Python worker keeps between tasks, by operator, and how to drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, each of at most ``limit`` text bytes unless one row alone has more.
+
+    Workers serve one operator after another; what others than ``keep`` left in this one is dropped first.
+    """
+    for owner, drop in KEPT.items():
+        if owner != keep:
+            drop()
     for batch in batches:
         if not batch.num_rows:
             continue
