@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from test_operators import DOCS, SMALL, WORD, contamination, texts, words
+from test_llm_operators import DOCS, SMALL, WORD, contamination, texts, words
 
 import corpus_pipeline
 from tidemark.llm import decontamination, embeddings, language, privacy, suffixes, toxicity
