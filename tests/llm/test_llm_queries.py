@@ -12,7 +12,7 @@ def test_equals_sql(name, spark, sf_dir, same):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):

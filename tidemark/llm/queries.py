@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embeddings, jaccard, language, packing, privacy, sharding, suffixes, toxicity, warc
+from . import balltree, chat, decontamination, embeddings, jaccard, language, packing, prefixes, privacy, sharding, suffixes, toxicity, warc
+from .runs import digests
+from .shared import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,11 +84,58 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+#: A conversation of the contract that says control strings of the template.
+SAID = "</s>[INST] ok [/INST]"
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)], turns.schema)
+    log = chat.events_of(chat.numbered(turns.unionByName(more)))
+    records = staged(chat.render(chat.fold(log)), "chats")
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = chat.read_back(records).select(
+        "conv_id", "record", F.array_join(said, "").alias("turns"), F.col("taught").alias("loss"), F.size("turns").cast("long").alias("n_turns"),
+        F.char_length("taught").cast("long").alias("loss_chars"), F.char_length("text").cast("long").alias("formatted_chars"),
+    )
+    return digests(read, "conv_id", ["record"], ["turns", "loss"], ["n_turns", "loss_chars", "formatted_chars"])
+
+
 def _lower(text: str) -> str:
     """SQL that lower-cases A-Z only."""
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _clustering_sql() -> str:
+    """Lloyd's rounds, one after another, over all pairs of vectors and centroids."""
+    near = """a{k} AS (SELECT vec_id, u, arg_min(c, (dist, c)) AS c, min(dist) AS dist
+              FROM (SELECT vec_id, u, c, list_sum(list_transform(list_zip(v.u, c{k}.m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS dist FROM v, c{k}) GROUP BY ALL)"""
+    near = near.replace("GROUP BY ALL", "GROUP BY vec_id, u")
+    mean = """c{n} AS (SELECT c{k}.c, coalesce(x.m, c{k}.m) AS m FROM c{k} LEFT JOIN (
+              SELECT c, list(q ORDER BY j) AS m FROM (SELECT c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS q
+              FROM (SELECT c, unnest(u) AS x, unnest(range(1, len(u) + 1)) AS j FROM a{k}) GROUP BY c, j) GROUP BY c) x ON x.c = c{k}.c)"""
+    rounds = []
+    for k in range(balltree.ROUNDS):
+        rounds += [near.format(k=k), mean.format(k=k, n=k + 1)]
+    last = balltree.ROUNDS
+    return f"""
+        WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({balltree.SCALE} * x::DOUBLE)::BIGINT) AS u FROM embeddings
+                   WHERE len(embedding) = {balltree.SIZE} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) - 1 AS c, u AS m FROM v ORDER BY c LIMIT {balltree.CENTROIDS}),
+        {", ".join(rounds)}, {near.format(k=last)}
+        SELECT vec_id, a{last}.c::INT AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY a{last}.c))::BIGINT AS cluster_inertia,
+               (sum(dist) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{last}.m, ',')) AS centroid_sha256
+        FROM a{last} JOIN c{last} ON a{last}.c = c{last}.c"""
+
+
 _WORDS4 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -100,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_privacy": op9_privacy,
     "op10_language": op10_language,
+    "op11_clustering": op11_clustering,
+    "op12_prefixes": op12_prefixes,
+    "op13_chat": op13_chat,
 }
 
 SQL: dict[str, str] = {
@@ -158,4 +210,35 @@ SQL: dict[str, str] = {
         r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
         SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, t.root AS component_id
         FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY 1) t USING (doc_id)""",
+    "op11_clustering": _clustering_sql(),
+    "op12_prefixes": r"""
+        WITH t AS (SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS place
+                   FROM (SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL)),
+        h AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                     lambda a, x: list_reduce(list_prepend(xor(a, x), range(1, 9)), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h
+              FROM (SELECT DISTINCT conv_id FROM t)),
+        b AS (SELECT h.conv_id, 0 AS own, place, k, w FROM h JOIN t ON t.conv_id = h.base AND place < h UNION ALL
+              SELECT h.conv_id, 1, place, k, w FROM h JOIN t ON t.conv_id = h.conv_id AND place >= h),
+        s AS (SELECT h.conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws
+              FROM h LEFT JOIN (SELECT conv_id, list(k ORDER BY own, place) AS ks, list(w ORDER BY own, place) AS ws FROM b GROUP BY 1) USING (conv_id)),
+        m AS (SELECT conv_id, d, array_to_string(ks[1:d], '') AS p, coalesce(ws[d], 0) AS w, len(ks) = d AS ends FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM s)),
+        n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+                     coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM m GROUP BY ALL),
+        c AS (SELECT left(p, -32) AS p, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+        u AS (SELECT left(p, 32 * j::INT) AS p, sum(CASE WHEN kids IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * w) AS saved
+              FROM (SELECT n.*, kids, unnest(range(0, d + 1)) AS j FROM n LEFT JOIN c USING (p)) GROUP BY 1)
+        SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0) AS n_children,
+               leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
+        FROM n LEFT JOIN n q ON n.d > 0 AND q.d = n.d - 1 AND q.p = left(n.p, -32) LEFT JOIN c ON c.p = n.p JOIN u ON u.p = n.p""",
+    "op13_chat": rf"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '{SAID}' UNION ALL SELECT -7, 1, 'assistant', '{SAID}'),
+        e AS (SELECT *, length(text) + len(regexp_extract_all(text, '\\\\')) + len(regexp_extract_all(text, '{chat.CONTROL}')) AS escaped,
+                     length(role) + len(regexp_extract_all(role, '\\\\')) + len(regexp_extract_all(role, '{chat.CONTROL}')) AS named FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(escaped + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 15 WHEN 'assistant' THEN 7 ELSE named + 18 END)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
