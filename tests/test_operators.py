@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import canon
-from tidemark.operators import audit, catalog, change, gates, identity, match, policy, runs, search, views
+from tidemark.operators import audit, catalog, change, gates, identity, match, normalize, policy, runs, search, views
 from tidemark.operators.change import ChangeSpec, reconcile
 from tidemark.plans.queries import QUERIES
 
@@ -85,7 +85,7 @@ def test_health(spark):
 
 
 def test_privacy(spark):
-    texts = ["plain", "write to x@gmail.com", "x@council.example", "Tel: 612 345 678", "lot 612345678", "id 12345678Z here", "ES91 2100 0418 4502 0005 1332", "domicilio particular: calle Mayor 12", None]
+    texts = ["plain", "write to x@gmail.com", "x@council.example", "Teléfono particular: 612 345 678", "Tel: 612 345 678", "id 12345678Z here", "ES91 2100 0418 4502 0005 1332", "domicilio particular: calle Mayor 12", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = gates.privacy_decision(df, {"title": F.col("t")}).collect()
     assert [r["privacy_reasons"] for r in got] == [[], ["consumer_email:title"], [], ["contextual_phone:title"], [], ["personal_identifier:title"], ["bank_account:title"], ["private_address:title"], []]
@@ -215,3 +215,25 @@ def test_excerpts_fold_and_keep_words(spark):
     df = spark.createDataFrame([(text,), ("short oposicion",), ("none",), (None,)], "t string")
     got = [r[0] for r in df.select(search.excerpt(F.col("t"), "oposición")).collect()]
     assert got[0].startswith("…word") and got[0].endswith("tail…") and "Oposición" in got[0] and len(got[0]) <= 242 and got[1:] == ["short oposicion", None, None]
+
+
+def test_public_sources_have_no_cap(spark):
+    sources = spark.range(20_000).select(F.col("id").cast("string").alias("source_id"), F.lit(True).alias("public_records"))
+    assert views.public_only(sources.select("source_id"), sources).count() == 20_000
+
+
+def test_headings_whatever_the_partitions(spark):
+    heads = [["Consorcio Provincial", "Ayuntamiento  de Oropesa", "ANUNCIOS"], ["Oropesa"], ["Otros"], None, [], ["Diputación Provincial de Castellón", None], ["Ayuntamiento de Nules"]] * 30
+    df = spark.createDataFrame([(k, h, "x") for k, h in enumerate(heads)], "id int, heading_path array<string>, heading string")
+    registry = spark.createDataFrame([("12085", "Oropesa")], "code string, name string")
+    got = [rows(normalize.heading_authority(x, "heading_path", registry).select("id", "authority.id", "heading")) for x in (df.coalesce(1), df.repartition(7, F.rand()), df.orderBy(F.rand()))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(heads)
+    assert [r[1] for r in sorted(got[0])[:4]] == ["bop-castellon:municipality:12085"] * 2 + [None] * 2
+
+
+def test_company_letters(spark):
+    ids = [f"{c}1234567{x}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for x in "D4"]
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    told = dict(df.select("id", canon.tax_class(F.col("id"))).collect())
+    assert not [i for i in ids if i[0] in "IKLMOTXYZ" and told[i] == "legal_entity_tax_identifier"]
+    assert told["K1234567D"] == told["L1234567D"] == "ambiguous_tax_identifier" or told["K1234567D"] == "personal_identifier"

@@ -12,8 +12,8 @@ from pyspark.sql.types import StringType
 
 #: Query parameters that only track visits.
 TRACKING = "^(utm_[^=]*|gclid|fbclid)(=|$)"
-#: Letters that check personal numbers modulo 23, and check letters of company numbers.
-PERSON_LETTERS, COMPANY_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE", "JABCDEFGHI"
+#: Letters that check personal numbers modulo 23, check letters of company numbers, and what these begin with.
+PERSON_LETTERS, COMPANY_LETTERS, COMPANY_FIRST = "TRWAGMYFPDXBNJZSQVHLCKE", "JABCDEFGHI", "ABCDEFGHJNPQRSUVW"
 #: Spanish month names in order.
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
 
@@ -144,7 +144,7 @@ def valid_person_id(text: Column) -> Column:
 def tax_class(text: Column) -> Column:
     """personal_identifier, legal_entity_tax_identifier, ambiguous_tax_identifier or null, by form and check characters."""
     compact = compact_id(F.trim(text))
-    shape = compact.rlike("^(?:[0-9]{8}[A-Z]|[XYZKLM][0-9]{7}[A-Z]|[ABCDEFGHJNPQRSUVW][0-9]{7}[0-9A-J])$")
+    shape = compact.rlike("^(?:[0-9]{8}[A-Z]|[XYZKLM][0-9]{7}[A-Z]|[" + COMPANY_FIRST + "][0-9]{7}[0-9A-J])$")
     sure = lambda c: F.coalesce(c, F.lit(False))
     return F.when(sure(valid_person_id(compact)), "personal_identifier").when(sure(valid_company_id(compact)), "legal_entity_tax_identifier").when(shape, "ambiguous_tax_identifier")
 
@@ -164,7 +164,7 @@ def valid_company_id(text: Column) -> Column:
     by_digit = last == check.cast("string")
     by_letter = last == F.substring(F.lit(COMPANY_LETTERS), (check + 1).cast("int"), F.lit(1))
     fits = F.when(first.isin(*"PQRSNW"), by_letter).when(first.isin(*"ABEH"), by_digit).otherwise(by_digit | by_letter)
-    return compact.rlike("^[A-HJ-NP-SUVW][0-9]{7}[0-9A-J]$") & F.coalesce(fits, F.lit(False))
+    return compact.rlike(f"^[{COMPANY_FIRST}][0-9]{{7}}[0-9A-J]$") & F.coalesce(fits, F.lit(False))
 
 
 def encoded_id(text: Column) -> Column:

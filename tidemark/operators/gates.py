@@ -7,18 +7,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.canon import decoded_url, fold_latin, tax_class, unclassified_tax_shape, url_part, valid_iban, valid_person_id
+from ..functions.canon import decoded_url, tax_class, unclassified_tax_shape, url_part, valid_iban, valid_person_id
 
 #: What the text rules look for. Identifiers may be grouped by blanks, points or hyphens.
 _SEP = r"[ .\-]"
 _EIGHT, _SEVEN = rf"(?:\d{{8}}|\d{{2}}{_SEP}\d{{3}}{_SEP}\d{{3}})", rf"(?:\d{{7}}|\d{{2}}{_SEP}\d{{3}}{_SEP}\d{{2}})"
 PERSON_ID = rf"(?i)(?<![A-Za-z0-9])(?:[XYZKLM]{_SEP}?{_SEVEN}{_SEP}?[A-Z]|{_EIGHT}{_SEP}?[A-Z])(?![A-Za-z0-9])"
-COMPANY_ID = r"(?i)(?<![A-Za-z0-9])[ABCDEFGHJNPQRSUVW]\d{7}[0-9A-J](?![A-Za-z0-9])"
 IBAN = r"(?i)(?<![A-Z0-9])[A-Z]{2}\d{2}(?:[ -]?[A-Z0-9]){11,34}(?![A-Z0-9])"
 #: A run of mailbox characters is tried once, from its start, and never given back.
 EMAIL = r"(?<![A-Za-z0-9.!#$%&'*+/=?^_`{|}~\-])[A-Za-z0-9.!#$%&'*+/=?^_`{|}~\-]++@([A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?)+)"
 PHONE = r"(?:\+34[ .-]?[6789](?:[ .-]?\d){8}|(?<!\d)[6789](?:[ .-]?\d){2}[ .-]\d{3}[ .-]\d{3})(?!\d)"
 ADDRESS = r"(?i)\b(?:domicilio|direcci[oó]n)\s+(?:de\s+)?(?:uso\s+)?(?:particular|personal)\s*:\s*[^,\n]{3,120}\s+\d{1,4}\b"
+#: What says that the number behind it is a private one.
+PHONE_TERMS = (
+    "telefono particular", "teléfono particular", "movil particular", "móvil particular",
+    "telefono personal", "teléfono personal", "movil personal", "móvil personal",
+)
 MAIL_DOMAINS = ("gmail.com", "googlemail.com", "hotmail.com", "outlook.com", "yahoo.com", "yahoo.es", "icloud.com", "proton.me", "protonmail.com")
 SEVERITY = ("allow", "quarantine", "reject")
 RULES = ("personal_identifier", "ambiguous_tax_identifier", "bank_account", "consumer_email", "contextual_phone", "private_address")
@@ -30,7 +34,7 @@ class PrivacyRules:
 
     decisions: dict[str, str] = field(default_factory=lambda: dict.fromkeys(RULES, "quarantine"))
     mail_domains: tuple[str, ...] = MAIL_DOMAINS
-    phone_terms: tuple[str, ...] = ("tel", "telefono", "movil", "phone", "call", "contacto")
+    phone_terms: tuple[str, ...] = PHONE_TERMS
 
     def __post_init__(self):
         if not set(self.decisions.values()) <= set(SEVERITY) or not set(self.decisions) <= set(RULES) or not self.mail_domains or not self.phone_terms:
@@ -48,7 +52,7 @@ class PrivacyRules:
             near = rf"(?i)(?:{'|'.join(self.phone_terms)})[\s:;,(.\-]{{0,12}}{PHONE}"
             out |= {
                 "consumer_email": text.contains("@") & F.arrays_overlap(domains, F.array(*map(F.lit, self.mail_domains))),
-                "contextual_phone": text.rlike(r"[6789](?:[ .-]?\d){2}") & fold_latin(text).rlike(near),
+                "contextual_phone": text.rlike(r"[6789](?:[ .-]?\d){2}") & F.lower(text).rlike(near),
                 "private_address": text.rlike(ADDRESS),
             }
         return out

@@ -169,8 +169,9 @@ def heading_authority(rows: DataFrame, path: str, registry: DataFrame) -> DataFr
     tried from the last to the first: municipal prefixes, municipalities by name, the province, other organisations.
     """
     names = registry.select(fold_words(F.col("name")).alias("folded"), "code").groupBy("folded").agg(F.min("code").alias("code"), F.max("code").alias("other")).where("code = other").select("folded", "code")
-    known = rows.select("*", F.monotonically_increasing_id().alias("_row"))
-    headings = known.select("_row", F.posexplode(F.reverse(path)).alias("_at", "heading")).withColumn("folded", fold_words(F.col("heading")))
+    # headings are told once for each distinct path, which is also what leads back to its rows
+    paths = rows.select(F.col(path).alias("way")).distinct()
+    headings = paths.select("way", F.posexplode(F.reverse("way")).alias("at", "heading")).withColumn("folded", fold_words(F.col("heading")))
     headings = headings.where((F.col("folded") != "") & ~F.col("folded").isin(*GENERIC_HEADINGS))
     bare = F.regexp_extract("folded", rf"^(?:{'|'.join(sorted(MUNICIPAL_PREFIXES, key=len, reverse=True))}) (.+)$", 1)
     headings = headings.withColumn("town", F.when(bare != "", bare))
@@ -184,8 +185,8 @@ def heading_authority(rows: DataFrame, path: str, registry: DataFrame) -> DataFr
         .when(starts_with_any(F.col("folded"), PROVINCIAL_PREFIXES), told(F.lit("bop-castellon:diputacion:12"), F.lit("Diputación Provincial de Castellón"), F.lit("provincial"), F.lit(None), "explicit_provincial_deputation_heading"))
         .when(starts_with_any(F.col("folded"), OTHER_PREFIXES), told(derived_authority_id(F.col("folded")), clean, level, F.lit(None), "explicit_observed_organization_heading"))
     )
-    best = met.withColumn("authority", found).where("authority is not null").groupBy("_row").agg(F.min_by("authority", "_at").alias("authority"))
-    return known.join(best, "_row", "left").drop("_row")
+    best = met.withColumn("told", found).where("told is not null").groupBy("way").agg(F.min_by("told", "at").alias("authority"))
+    return rows.join(best, rows[path] == best["way"], "left").drop("way")
 
 
 def notice_candidates(notices: DataFrame, registry: DataFrame, detected: Column, checked: Column, path: str = "heading_path", title: str = "title", url: str = "url") -> DataFrame:

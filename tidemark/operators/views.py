@@ -136,7 +136,7 @@ def by_primary_date(df: DataFrame, most: int, value: str = "value", detected: st
 
 def public_only(df: DataFrame, sources: DataFrame, source: str = "source_id") -> DataFrame:
     """Rows of sources that publish their records."""
-    return df.join(F.broadcast(sources.where("public_records").select(source).distinct().limit(10_000)), source, "left_semi")
+    return df.join(sources.where("public_records").select(source), source, "left_semi")
 
 
 def portal_status(sources: DataFrame, health: DataFrame, runs: DataFrame, queue: DataFrame, source: str = "source_id") -> DataFrame:

@@ -243,7 +243,8 @@ _CALLS = "regexp_matches(translate(lower(text), 'áàâäãéèêëíìîïóò
 def privacy_scan(spark, d):
     docs = table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     turns = table(spark, d, "conversations").select(F.concat(F.lit("c"), F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))).alias("id"), "text")
-    rules = gates.PrivacyRules(decisions={"consumer_email": "quarantine", "contextual_phone": "quarantine"}, mail_domains=(*gates.MAIL_DOMAINS, "mail6.example.com"))
+    calls = ("tel", "telefono", "teléfono", "movil", "móvil", "phone", "call", "contacto")  # a wider list than the rules' own
+    rules = gates.PrivacyRules(decisions={"consumer_email": "quarantine", "contextual_phone": "quarantine"}, mail_domains=(*gates.MAIL_DOMAINS, "mail6.example.com"), phone_terms=calls)
     found = gates.privacy_decision(docs.unionByName(turns), {"text": F.col("text")}, rules)
     return found.select("id", "privacy", F.array_join("privacy_reasons", ",").alias("reasons"))
 
@@ -413,4 +414,4 @@ def stream_dedupe_available_now(spark, d):
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
-from . import records, stores  # noqa: E402, F401 register their queries here
+from . import records, rules, stores  # noqa: E402, F401 register their queries here
