@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import canon
-from ..operators import gates, views
+from ..operators import gates, match, views
 from .queries import query, table
 
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -50,3 +50,27 @@ def public_sources(spark, d):
     """As many sources as there are parts; the larger ones publish their records."""
     sources = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") > 10).alias("public_records"))
     return views.public_only(table(spark, d, "lineitem"), sources, "l_partkey").select("l_orderkey", "l_linenumber")
+
+
+_FOLDED = "replace(strip_accents(lower({})), 'ß', 'ss')"
+
+
+@query(f"""WITH w AS (SELECT item_id, regexp_extract_all(text, '[\\p{{L}}]+') AS w FROM benchmark),
+  v AS (SELECT 'municipality' AS kind, 'm' || item_id AS code, array_to_string(w[1:2], ' ') AS v, 'official_variant' AS method FROM w UNION ALL
+        SELECT 'municipality', 'm' || item_id, array_to_string(w[3:4], ' '), 'technical_alias' FROM w UNION ALL
+        SELECT 'authority', 'a' || item_id, array_to_string(w[2:4], ' '), 'official_variant' FROM w),
+  n AS (SELECT kind, code, method, {_FOLDED.format("v")} AS v FROM v), s AS (SELECT DISTINCT v FROM n),
+  t AS (SELECT doc_id, 'source' AS field, {_FOLDED.format("source")} AS t FROM documents UNION ALL SELECT doc_id, 'text', {_FOLDED.format("text")} FROM documents),
+  k AS (SELECT doc_id, field, unnest(w) AS a, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, field, regexp_extract_all(t, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+') AS w FROM t)),
+  g AS (SELECT doc_id, field, a, a || lead(a, 1) OVER o || lead(a, 2) OVER o AS b, a || lead(a, 1) OVER o || lead(a, 2) OVER o || lead(a, 3) OVER o || lead(a, 4) OVER o AS c
+        FROM k WINDOW o AS (PARTITION BY doc_id, field ORDER BY i)),
+  h AS (SELECT doc_id, field, v FROM g JOIN s ON a = v UNION SELECT doc_id, field, v FROM g JOIN s ON b = v UNION SELECT doc_id, field, v FROM g JOIN s ON c = v)
+  SELECT DISTINCT doc_id, field, kind || '_exact' AS reason, code FROM h JOIN n USING (v)""")
+def located_places(spark, d):
+    """Word pairs and triples of the benchmark as names of places: what sources and texts of documents name, and where."""
+    words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))
+    item = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("i"), words.alias("w"))
+    part = lambda kind, first, n, method: item.select(F.lit(kind).alias("kind"), F.concat(F.lit(kind[0]), "i").alias("code"), F.col("i").alias("name"), F.array_join(F.slice("w", first, n), " ").alias("variant"), F.lit(method).alias("method"))
+    entities = part("municipality", 1, 2, "official_variant").unionByName(part("municipality", 3, 2, "technical_alias")).unionByName(part("authority", 2, 3, "official_variant"))
+    found = match.located_matches(table(spark, d, "documents").select("doc_id", "source", "text"), {"source": F.col("source"), "text": F.col("text")}, entities)
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.field", "m.reason", F.col("m.entity_code").alias("code"))
