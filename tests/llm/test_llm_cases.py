@@ -124,8 +124,16 @@ def test_toxicity_finds_held_out_documents(spark):
     held = labels.where((language.fold_of(F.col("doc_id")) == 0) & F.col("toxic").isNotNull())
     got = toxicity.score(docs, machine).join(held, "doc_id").select("predicted", "toxic").collect()
     toxic = [r["predicted"] for r in got if r["toxic"]]
-    assert len(toxic) > 50 and sum(toxic) >= 0.85 * len(toxic)
+    assert len(toxic) > 50 and sum(toxic) >= 0.9 * len(toxic)
     assert sum(r["predicted"] for r in got if not r["toxic"]) <= 0.02 * len(got)
+    assert min(machine.logistic[1:]) >= 0 < max(machine.logistic[1:])
+    start = "Thting and of the onheat in thor. Reer ble onst."
+    more = ["idiot", "path3tic", "i.d.i.o.t", "thor", "onheat", "xyzzy", "idiotidiotidiotidiotidiot", "stupid idiot", "zu", "été"]
+    said = [start] + [f"{start} {w}" for w in more] + [f"{start} {v} {w}" for v in more for w in more]
+    s = toxicity.score(spark.createDataFrame(list(enumerate(said)), DOCS), machine).orderBy("doc_id").select("score").collect()
+    one = {w: s[1 + k][0] for k, w in enumerate(more)}
+    assert all(v >= s[0][0] for v in one.values()) and one["idiot"] >= 0.5
+    assert all(s[1 + len(more) + i * len(more) + j][0] >= max(one[v], one[w]) - 1e-12 for i, v in enumerate(more) for j, w in enumerate(more))
 
 
 def test_toxicity_is_the_same_however_rows_are_dealt(spark):

@@ -10,7 +10,9 @@ a logistic function of its sentences' margins.
 Training takes labelled documents as bags of sentences. Runs of letters that stand in toxic documents far beyond
 chance say where to look: words with such a run are positive if they stand mostly in toxic documents; those that
 stand mostly in clean ones, and all other words of clean documents, are negative. The machine is fitted on a working
-set, which takes in clean words beyond the margin round by round until none is left outside.
+set, which takes in clean words beyond the margin round by round until none is left outside. The logistic function has
+no negative weight, so more evidence never lowers a score; it is fitted on the margins that each half of the documents
+gets from a machine fitted on the words of the other half.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from .shared import staged, steps
 #: Labelled documents of each class that a model is fitted on, about; the only bound on what is read to fit.
 SAMPLE_DOCUMENTS = 2500
 LANDMARKS = 400
-#: Clean words that one round takes into the working set, and rounds at most; mostly a few rounds leave none outside.
-ROUND_WORDS, ROUNDS = 1500, 8
+#: Clean words that one round takes into the working set; rounds go on until no word outside it is beyond the margin.
+ROUND_WORDS, MARGIN = 1500, -0.9
 #: Symbols of the runs whose documents are counted to find what marks toxic ones; how unlikely by chance, as a natural
 #: logarithm beyond that of the number of runs, a run's documents must be; and how many times the usual share of them
 #: must be toxic. A word with such a run is positive if this share of its own documents is toxic, else negative.
@@ -192,16 +194,18 @@ class Machine:
 
     weights: np.ndarray
     bias: float = -1.0
-    logistic: tuple[float, ...] = (-3.0, 4.0, 1.0, 1.0)
+    logistic: tuple[float, ...] = (-3.0, 4.0, 1.0, 1.0, 1.0)
 
     def document(self, column: pa.Array) -> np.ndarray:
-        """For every row: the largest margin, and logarithms of how many words are over 0 and well over it."""
+        """For every row: the largest margin, and logarithms of the sum of those over 0 and of how many words are over 0
+        and well over it. A further word can only raise them."""
         code, starts, row = units(column)
         value = margins(code, starts, self.weights, self.bias)
         n = len(column)
         top = np.full(n, -2.0)
         np.maximum.at(top, row, value)
-        return np.stack([np.clip(top, -2, 4), *(np.log1p(np.bincount(row[value > least], minlength=n)) for least in (0.0, 0.5))], 1)
+        total = np.log1p(np.bincount(row, np.maximum(value, 0), n))
+        return np.stack([np.clip(top, -2, 4), total, *(np.log1p(np.bincount(row[value > least], minlength=n)) for least in (0.0, 0.5))], 1)
 
     def score(self, column: pa.Array) -> np.ndarray:
         x = self.document(column)
@@ -238,23 +242,34 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Weights by Newton's method with a small penalty."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w)), x.T @ (p - y) + 0.05 * w)
-        w -= np.clip(step, -2, 2)
-        if abs(step).max() < 1e-6:
+    """Weights by Newton's method with a small penalty, none of the inputs' below 0: inputs that ask for less are left out.
+
+    Both classes weigh the same, so a score of 0.5 is where a text fits one as well as the other.
+    """
+    each = np.where(y > 0, len(y) / (2 * max(1.0, y.sum())), len(y) / (2 * max(1.0, len(y) - y.sum())))
+    free = list(range(x.shape[1]))
+    while True:
+        own = np.hstack([np.ones((len(x), 1)), x[:, free]])
+        w = np.zeros(own.shape[1])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(own @ w, -30, 30)))
+            step = np.linalg.solve((own * (each * p * (1 - p))[:, None]).T @ own + 0.05 * np.eye(len(w)), own.T @ (each * (p - y)) + 0.05 * w)
+            w -= np.clip(step, -2, 2)
+            if abs(step).max() < 1e-6:
+                break
+        if not free or w[1:].min() >= 0:
             break
-    return tuple(float(v) for v in w)
+        free.pop(int(w[1:].argmin()))
+    out = np.zeros(x.shape[1] + 1)
+    out[[0, *(k + 1 for k in free)]] = w
+    return tuple(float(v) for v in out)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, most: int) -> DataFrame:
-    """text, toxic and weight of about ``most`` labelled documents of each class, each text once.
+    """text, toxic, weight and half (0 or 1) of about ``most`` labelled documents of each class, each text once.
 
     A text with both labels is toxic. Near copies, which mostly share the two least hashes of their long words, have
-    weight 1 together, as chance words of one text would else look typical.
+    weight 1 together, as chance words of one text would else look typical, and are of one half.
     """
     known = labels.where(F.col(label).isin(0, 1) & (fold_of(F.col(key)) != 0)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
     chosen = sampled(known, "toxic", key, most)
@@ -265,13 +280,14 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: st
     least = F.when(F.size(long) > 1, F.slice(F.array_sort(F.array_distinct(long)), 1, 2)).otherwise(F.array(F.xxhash64("text")))
     rows = staged(rows.withColumn("least", least), "labelled")
     sizes = rows.groupBy("least", "toxic").agg((1 / F.count("*")).alias("weight"))
-    return staged(rows.join(sizes, ["least", "toxic"]).select("text", "toxic", "weight"), "weighted")
+    half = F.pmod(F.xxhash64("least"), F.lit(2)).cast("int").alias("half")
+    return staged(rows.join(sizes, ["least", "toxic"]).select("text", "toxic", "weight", half), "weighted")
 
 
-def _counted(rows: DataFrame, scan, found: str) -> DataFrame:
-    """word, t and c: weights of the toxic and of the clean documents with it."""
-    parts = rows.mapInArrow(scan, f"word {found}, t double, c double")
-    return parts.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+def _counted(rows: DataFrame, scan, found: str, *more: str) -> DataFrame:
+    """word, t and c: weights of the toxic and of the clean documents with it; and ``more`` sums."""
+    parts = rows.mapInArrow(scan, ", ".join([f"word {found}", *(f"{c} double" for c in ("t", "c", *more))]))
+    return parts.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("t", "c", *more)))
 
 
 def _run_counts(rows: DataFrame) -> DataFrame:
@@ -309,23 +325,25 @@ def _run(key: int) -> str:
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
-    """The weights of documents with each word of at least three letters, as a text of symbols with its borders."""
+    """The weights of documents with each word of at least three letters, as a text of symbols with its borders; t1 and
+    c1 are those of the second half."""
+    names = ["word", "t", "c", "t1", "c1"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", STEP):
             code, starts, row = units(batch.column("text"))
             whole = (code + 64).astype(np.uint8).tobytes().decode("latin-1")
             ends = np.append(starts[1:], len(code))
-            toxic, weight = batch.column("toxic").to_pylist(), batch.column("weight").to_pylist()
-            t: dict[str, float] = {}
-            c: dict[str, float] = {}
+            toxic, weight, half = (batch.column(c).to_pylist() for c in ("toxic", "weight", "half"))
+            sums: dict[str, list[float]] = {}
             for r, w in sorted({(r, whole[a:b]) for r, a, b in zip(row.tolist(), starts.tolist(), ends.tolist()) if b - a >= 5}):
-                own = t if toxic[r] else c
-                own[w] = own.get(w, 0.0) + weight[r]
-            names = sorted(t.keys() | c.keys())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([t.get(w, 0.0) for w in names], pa.float64()), pa.array([c.get(w, 0.0) for w in names], pa.float64())], names=["word", "t", "c"])
+                own = sums.setdefault(w, [0.0] * 4)
+                for k in (0, 2)[: 1 + half[r]]:
+                    own[k + (not toxic[r])] += weight[r]
+            found = sorted(sums.items())
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), *(pa.array([v[k] for _, v in found], pa.float64()) for k in range(4))], names=names)
 
-    return _counted(rows, scan, "string")
+    return _counted(rows, scan, "string", "t1", "c1")
 
 
 def _surprise(share: float):
@@ -358,36 +376,50 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
             has = [any(w[i : i + n] in known.value for n in RUN_SYMBOLS for i in range(len(w) - n + 1)) for w in batch.column("word").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(has, pa.bool_())], names=[*batch.schema.names, "has"])
 
-    words = staged(_word_counts(rows).mapInArrow(mark, "word string, t double, c double, has boolean"), "words")
-    toxic = F.col("has") & (F.col("t") > WORD_SHARE * (F.col("t") + F.col("c")))
-    positive = [r["word"] for r in words.where(toxic).orderBy("word").collect()]
-    alike = [r["word"] for r in words.where(F.col("has") & ~toxic).orderBy("word").collect()]
-    clean = words.where((F.col("c") > 0) & ~F.col("has")).select("word")
-    negative = alike + [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(ROUND_WORDS).collect()]
+    words = staged(_word_counts(rows).mapInArrow(mark, "word string, t double, c double, t1 double, c1 double, has boolean"), "words")
+    marked = words.where("has").orderBy("word").collect()
+    positive = [r["word"] for r in marked if r["t"] > WORD_SHARE * (r["t"] + r["c"])]
+    alike = [r["word"] for r in marked if not r["t"] > WORD_SHARE * (r["t"] + r["c"])]
+    clean = words.where((F.col("c") > 0) & ~F.col("has")).select("word", "c", "c1")
+    own_half = {r["word"]: (r["t"] - r["t1"], r["c"] - r["c1"], r["t1"], r["c1"]) for r in marked}
+
+    def took(found: list) -> list[str]:
+        """Words of clean documents; how often each half has them is kept."""
+        own_half.update((r["word"], (0.0, r["c"] - r["c1"], 0.0, r["c1"])) for r in found)
+        return [r["word"] for r in found]
+
+    negative = alike + took(clean.orderBy(F.xxhash64("word"), "word").limit(ROUND_WORDS).collect())
     if not positive or not negative:
         return quiet
-    for _ in range(ROUNDS):
+    while True:
         machine = fit_words(positive, negative)
         now, told = spark.sparkContext.broadcast(machine), spark.sparkContext.broadcast(frozenset(negative))
 
         def beyond(batches: Iterator[pa.RecordBatch], now=now, told=told) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 value = margins(*packed(batch.column(0).to_pylist()), now.value.weights, now.value.bias)
-                out = np.array([w not in told.value for w in batch.column(0).to_pylist()], bool) & (value > -0.9)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["word", "value"]).filter(pa.array(out))
+                out = np.array([w not in told.value for w in batch.column(0).to_pylist()], bool) & (value > MARGIN)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=["word", "c", "c1", "value"]).filter(pa.array(out))
 
-        hard = clean.mapInArrow(beyond, "word string, value double").orderBy(F.desc("value"), "word").limit(ROUND_WORDS).collect()
+        hard = clean.mapInArrow(beyond, "word string, c double, c1 double, value double").orderBy(F.desc("value"), "word").limit(ROUND_WORDS).collect()
         if not hard:
             break
-        negative += [r["word"] for r in hard]
-    broadcast = spark.sparkContext.broadcast(machine)
+        negative += took(hard)
+    # each half's documents by a machine of the other half's words
+    halves = []
+    for k in (2, 0):
+        good = [w for w in positive if own_half[w][k] > WORD_SHARE * (own_half[w][k] + own_half[w][k + 1])]
+        bad = [w for w in negative if own_half[w][k + 1] > 0]
+        halves.append(fit_words(good, bad) if good and bad else machine)
+    broadcast = spark.sparkContext.broadcast(halves)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", STEP):
-            x = broadcast.value.document(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "top", "many", "sure"])
+            half = batch.column("half").to_numpy()
+            x = np.where((half == 0)[:, None], *(m.document(batch.column("text")) for m in broadcast.value))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(4))], names=["toxic", "top", "total", "many", "sure"])
 
-    got = rows.mapInArrow(measure, "toxic int, top double, many double, sure double").collect()
+    got = rows.mapInArrow(measure, "toxic int, top double, total double, many double, sure double").collect()
     got = sorted(tuple(r) for r in got)  # a row for each of the sample's texts
     machine.logistic = _logistic(np.array([r[1:] for r in got]), np.array([float(r[0]) for r in got]))
     return machine
