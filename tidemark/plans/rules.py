@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import canon
 from ..operators import gates, match, views
+from ..sources import summaries
 from .queries import query, table
 
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -74,3 +75,44 @@ def located_places(spark, d):
     entities = part("municipality", 1, 2, "official_variant").unionByName(part("municipality", 3, 2, "technical_alias")).unionByName(part("authority", 2, 3, "official_variant"))
     found = match.located_matches(table(spark, d, "documents").select("doc_id", "source", "text"), {"source": F.col("source"), "text": F.col("text")}, entities)
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.field", "m.reason", F.col("m.entity_code").alias("code"))
+
+
+_DAY = "CAST(o_orderdate AS DATE)"
+
+
+@query(f"""WITH l AS (SELECT {_DAY} AS d, day({_DAY}) AS dom, o_orderpriority AS p, o_orderkey AS o, o_orderstatus AS s, l_returnflag AS f, l_linenumber AS n, l_partkey AS k, l_quantity AS q FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+  r AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY p, o, f <> 'N', f, n, k, q) - 1 AS position, dense_rank() OVER (PARTITION BY d ORDER BY p) - 1 AS i, dense_rank() OVER (PARTITION BY d, p ORDER BY o) - 1 AS j,
+      row_number() OVER (PARTITION BY o, f ORDER BY n, k, q) - 1 AS m, dense_rank() OVER (PARTITION BY o, f = 'N' ORDER BY f) - 1 AS h FROM l),
+  w AS (SELECT *, CASE WHEN dom = 13 THEN 'status' WHEN dom = 15 AND s = 'P' THEN 'url_refused' WHEN dom = 14 AND n = 2 THEN 'text_missing' WHEN dom = 16 AND q > 49 THEN 'number_invalid' END AS code FROM r),
+  b AS (SELECT d, arg_min(code, position) AS code, arg_min(CASE code WHEN 'status' THEN 'status.code' ELSE 'data.sumario.diario[0].seccion[' || i || '].departamento[' || j || ']' || CASE WHEN f = 'N' THEN '' ELSE '.epigrafe[' || h || ']' END || '.item[' || m || ']'
+      || CASE code WHEN 'url_refused' THEN '.url_html' WHEN 'text_missing' THEN '.titulo' ELSE '.url_pdf.szKBytes' END END, position) AS path FROM w WHERE code IS NOT NULL GROUP BY d)
+  SELECT d AS day, d AS published_on, position, p AS section, o::VARCHAR AS department, CASE WHEN f <> 'N' THEN f END AS heading, 'L-' || o || '-' || n AS official_id, k AS size_bytes, q::BIGINT AS size_kbytes, NULL AS code, NULL AS path FROM w WHERE d NOT IN (SELECT d FROM b)
+  UNION ALL SELECT d, d, NULL, NULL, NULL, NULL, NULL, NULL, NULL, code, path FROM b""")
+def summary_trees(spark, d):
+    """Orders and their lines as daily summaries, where a single item, heading, department or section is no list, read back;
+    some days break the contract in one place or another."""
+    day = F.to_date("o_orderdate")
+    lines = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).withColumns({"day": day, "dom": F.dayofmonth(day)})
+    text = lambda c: F.to_json(F.struct(c.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("v")))) - 6)  # noqa: E731  a JSON text
+    key, line, dom = F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("dom")
+    url = F.when((dom == 15) & (F.col("o_orderstatus") == "P"), "https://www.gazette.example.org/x").otherwise("https://gazette.example.org:443/x")
+    size = F.when((dom == 16) & (F.col("l_quantity") > 49), F.lit("-1")).otherwise(F.col("l_quantity").cast("long").cast("string"))
+    link = F.lit('"https://gazette.example.org/x"')
+    pdf = summaries.rendered([("texto", link), ("szBytes", F.col("l_partkey").cast("string")), ("szKBytes", text(size)), ("pagina_inicial", F.lit("null"))])
+    title = F.when(~((dom == 14) & (F.col("l_linenumber") == 2)), text(F.concat(F.lit('Line "'), line, F.lit('"'))))
+    item = summaries.rendered([("identificador", text(F.concat_ws("-", F.lit("L"), key, line))), ("titulo", title), ("url_xml", link), ("url_html", text(url)), ("url_pdf", pdf)])
+    sorted_nodes = lambda by, x: summaries.one_or_many(F.transform(F.array_sort(F.collect_list(F.struct(by, x))), lambda p: p["x"]))
+    items = lines.withColumn("x", item).groupBy("day", "dom", "o_orderpriority", "o_orderkey", "o_orderstatus", "l_returnflag").agg(sorted_nodes(F.struct("l_linenumber", "l_partkey", "l_quantity").alias("by"), "x").alias("x"))
+    under = items.groupBy("day", "dom", "o_orderpriority", "o_orderkey", "o_orderstatus").agg(F.array_sort(F.collect_list(F.struct("l_returnflag", "x"))).alias("nodes"))
+    direct = F.get(F.filter("nodes", lambda p: p["l_returnflag"] == "N"), F.lit(0))["x"]
+    headings = F.transform(F.filter("nodes", lambda p: p["l_returnflag"] != "N"), lambda p: summaries.rendered([("nombre", text(p["l_returnflag"])), ("item", p["x"])]))
+    department = summaries.rendered([("codigo", text(key)), ("nombre", text(F.col("o_orderstatus"))), ("item", direct), ("epigrafe", summaries.one_or_many(headings))])
+    sections = under.withColumn("x", department).groupBy("day", "dom", "o_orderpriority").agg(sorted_nodes("o_orderkey", "x").alias("x"))
+    section = summaries.rendered([("codigo", text(F.col("o_orderpriority"))), ("nombre", text(F.col("o_orderpriority"))), ("departamento", F.col("x"))])
+    days = sections.withColumn("x", section).groupBy("day", "dom").agg(sorted_nodes("o_orderpriority", "x").alias("x"))
+    meta = summaries.rendered([("publicacion", F.lit('"GAZ"')), ("fecha_publicacion", text(F.date_format("day", "yyyyMMdd")))])
+    tree = summaries.rendered([("metadatos", meta), ("diario", summaries.rendered([("numero", F.lit('"1"')), ("seccion", F.col("x"))]))])
+    status = F.when(F.col("dom") == 13, '{"code":200}').otherwise('{"code":"200"}')
+    whole = days.select("day", summaries.rendered([("status", status), ("data", summaries.rendered([("sumario", tree)]))]).alias("json"))
+    found = summaries.summary_rows(whole, "json", ("gazette.example.org",), "GAZ")
+    return found.select("day", "published_on", F.col("position").cast("long").alias("position"), "section", "department", "heading", "official_id", "size_bytes", "size_kbytes", "code", "path")
