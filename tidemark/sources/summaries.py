@@ -13,42 +13,49 @@ from pyspark.sql import functions as F
 
 ITEM = (
     "number string, section string, section_name string, department string, department_name string, heading string, official_id string, title string, control string, "
-    "url_xml string, url_html string, url_pdf string, size_bytes bigint, size_kbytes bigint, first_page bigint, last_page bigint, code string, path string"
+    "url_xml string, url_html string, url_pdf string, size_bytes bigint, size_kbytes bigint, first_page bigint, last_page bigint"
 )
 _NAMES = [c.split()[0] for c in ITEM.split(", ")]
 _TYPES = [c.split()[1] for c in ITEM.split(", ")]
 
 
-def field(tree: Column, name: str) -> Column:
-    """A member as a variant; null where it is absent, a JSON null or the tree is no object."""
-    found = F.try_variant_get(tree, f"$.{name}", "variant")
-    return F.when(~F.is_variant_null(found), found)
+#: A node taken apart: its members by name, each still a variant; null where a node is no object.
+NODE = "map<string,variant>"
 
 
-def is_object(tree: Column) -> Column:
-    return F.try_variant_get(tree, "$", "map<string,variant>").isNotNull()
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def nodes(tree: Column, name: str) -> Column:
-    """The member's elements, or the member alone where it is no list; absent ones are none."""
-    alone = field(tree, name)
-    return F.coalesce(F.try_variant_get(tree, f"$.{name}", "array<variant>"), F.when(alone.isNotNull(), F.array(alone)), F.array().cast("array<variant>"))
+def opened(tree: Column) -> Column:
+    return F.try_variant_get(tree, "$", NODE)
 
 
-def text(tree: Column, name: str) -> Column:
+def field(node: Column, name: str) -> Column:
+    """A member as a variant; null where it is absent or a JSON null."""
+    return F.when(~F.is_variant_null(node[name]), node[name])
+
+
+def nodes(node: Column, name: str) -> Column:
+    """The member's elements taken apart, or the member alone where it is no list; absent ones are none."""
+    alone = field(node, name)
+    found = F.coalesce(F.try_variant_get(node[name], "$", "array<variant>"), F.when(alone.isNotNull(), F.array(alone)))
+    return F.coalesce(F.transform(found, opened), F.array().cast(f"array<{NODE}>"))
+
+
+def text(node: Column, name: str) -> Column:
     """The member if it is a text that isn't empty, else null; numbers are no texts."""
-    found = field(tree, name)
-    said = F.try_variant_get(tree, f"$.{name}", "string")
-    return F.when((F.schema_of_variant(found) == "STRING") & (said != ""), said)
+    said = F.when(F.schema_of_variant(node[name]) == "STRING", F.try_variant_get(node[name], "$", "string"))
+    return F.nullif(said, F.lit(""))
 
 
-def count(tree: Column, name: str) -> tuple[Column, Column]:
-    """A whole number that isn't negative, also as digits in a text; and whether the member is there and no such number."""
-    found, kind = field(tree, name), F.schema_of_variant(field(tree, name))
-    said = F.try_variant_get(tree, f"$.{name}", "string")
-    whole = (kind == "BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)$") | (kind == "STRING")
+def count(node: Column, name: str) -> Column:
+    """A whole number that isn't negative, also as digits in a text; -1 for a member that is no such number."""
+    whole = F.schema_of_variant(node[name]).rlike(r"^(BIGINT|STRING|DECIMAL\(\d+,0\))$")
+    said = F.try_variant_get(node[name], "$", "string")
     value = F.when(whole & said.rlike("^[0-9]+$"), said.try_cast("bigint"))
-    return value, found.isNotNull() & value.isNull()
+    return F.when(field(node, name).isNotNull(), F.coalesce(value, F.lit(-1)))
 
 
 def official_url(url: Column, hosts: tuple[str, ...]) -> Column:
@@ -57,68 +64,73 @@ def official_url(url: Column, hosts: tuple[str, ...]) -> Column:
     return F.coalesce(url.rlike(rf"^(?i:https://(?:{names}))\.?(?::(?:0*443)?)?(?:[/?#]|$)"), F.lit(False))
 
 
-def _entry(**known: Column) -> Column:
-    return F.struct(*(known.get(n, F.lit(None)).cast(t).alias(n) for n, t in zip(_NAMES, _TYPES)))
+def _issue(code: Column, path: Column) -> Column:
+    """An entry that is no item."""
+    return F.struct(F.lit(None).cast(f"struct<{ITEM}>").alias("item"), code.alias("code"), path.alias("path"))
 
 
 def _first(*wrong: tuple[Column, str, Column]) -> Column:
-    """The first (is wrong, code, path) that holds, as an issue entry, else null."""
-    return F.coalesce(*(F.when(F.coalesce(bad, F.lit(True)), _entry(code=F.lit(code), path=path)) for bad, code, path in wrong))
+    """The first (is wrong, code, path) that holds, unknown counting as wrong; else null."""
+    told = lambda code, path: F.struct(F.lit(code).alias("code"), path.alias("path"))
+    return F.coalesce(*(F.when(F.coalesce(bad, F.lit(True)), told(code, path)) for bad, code, path in wrong))
 
 
 def _at(path: Column, name: str) -> Column:
     return F.concat(path, F.lit(f".{name}"))
 
 
-def _each(tree: Column, path: Column, name: str, read: Callable[[Column, Column], Column]) -> Column:
-    """What ``read`` gives for every element of a member, one after another; elements that are no objects are issues."""
-    place = lambda i: F.concat(path, F.lit(f".{name}["), i.cast("string"), F.lit("]"))
-    return F.flatten(F.transform(nodes(tree, name), lambda x, i: F.when(is_object(x), read(x, place(i))).otherwise(F.array(_entry(code=F.lit("not_object"), path=place(i))))))
+def _place(path: Column, name: str, i: Column) -> Column:
+    return F.concat(path, F.lit(f".{name}["), i.cast("string"), F.lit("]"))
 
 
-def _checked(issue: Column, found: Column) -> Column:
-    return F.when(issue.isNotNull(), F.array(issue)).otherwise(found)
+def _checked(wrong: list[tuple[Column, str, Column]], found: Column) -> Column:
+    """The entries found, or what is wrong alone."""
+    return let(_first(*wrong), lambda w: F.when(w.isNotNull(), F.array(_issue(w["code"], w["path"]))).otherwise(found))
 
 
-def _missing(tree: Column, path: Column, *names: str) -> list[tuple[Column, str, Column]]:
-    return [(text(tree, n).isNull(), "text_missing", _at(path, n)) for n in names]
+def _missing(node: Column, path: Column, *names: str) -> list[tuple[Column, str, Column]]:
+    return [(text(node, n).isNull(), "text_missing", _at(path, n)) for n in names]
 
 
-def _none(tree: Column, path: Column, name: str) -> tuple[Column, str, Column]:
-    return F.size(nodes(tree, name)) == 0, "node_missing", _at(path, name)
+def _each(node: Column, path: Column, name: str, read: Callable[[Column, Column], Column], needed: bool = False) -> Column:
+    """What ``read`` gives for every element of a member, one after another; elements that are no objects are issues."""
+    element = lambda x, i: F.when(x.isNull(), F.array(_issue(F.lit("not_object"), _place(path, name, i)))).otherwise(read(x, _place(path, name, i)))
+    none = F.array(_issue(F.lit("node_missing"), _at(path, name))) if needed else F.array().cast(f"array<struct<item: struct<{ITEM}>, code: string, path: string>>")
+    return let(nodes(node, name), lambda found: F.when(F.size(found) == 0, none).otherwise(F.flatten(F.transform(found, element))))
 
 
 _URLS = {"url_xml": ("", "url_xml"), "url_html": ("", "url_html"), "url_pdf": (".url_pdf", "texto")}
 _NUMBERS = {"size_bytes": "szBytes", "size_kbytes": "szKBytes", "first_page": "pagina_inicial", "last_page": "pagina_final"}
 
 
-def _items(tree: Column, path: Column, above: dict[str, Column], hosts: tuple[str, ...]) -> Column:
+def _items(node: Column, path: Column, above: dict[str, Column], hosts: tuple[str, ...]) -> Column:
     """The items of a node: each is taken apart once, then judged by what was found."""
 
     def parts(x: Column) -> Column:
-        pdf, control = field(x, "url_pdf"), field(x, "control")
-        numbers = {out: count(pdf, name) for out, name in _NUMBERS.items()}
-        return F.struct(
-            is_object(x).alias("is_item"), is_object(pdf).alias("has_pdf"), text(x, "identificador").alias("official_id"), text(x, "titulo").alias("title"),
-            *(text(pdf if above_ else x, name).alias(out) for out, (above_, name) in _URLS.items()), *(v.alias(out) for out, (v, _) in numbers.items()),
-            *(bad.alias(f"{out}_bad") for out, (_, bad) in numbers.items()), F.when(control.isNotNull(), F.schema_of_variant(control) == "STRING").alias("control_fine"),
-            F.try_variant_get(x, "$.control", "string").alias("control"),
+        return let(
+            opened(x["url_pdf"]),
+            lambda pdf: F.struct(
+                x.isNotNull().alias("is_item"), pdf.isNotNull().alias("has_pdf"), text(x, "identificador").alias("official_id"), text(x, "titulo").alias("title"),
+                *(text(pdf if inner else x, name).alias(out) for out, (inner, name) in _URLS.items()), *(count(pdf, name).alias(out) for out, name in _NUMBERS.items()),
+                (field(x, "control").isNull() | (F.schema_of_variant(x["control"]) == "STRING")).alias("control_fine"), F.try_variant_get(x["control"], "$", "string").alias("control"),
+            ),
         )
 
     def read(x: Column, i: Column) -> Column:
-        at = F.concat(path, F.lit(".item["), i.cast("string"), F.lit("]"))
+        at = _place(path, "item", i)
         pdf = _at(at, "url_pdf")
         wrong = [(~x["is_item"], "not_object", at), (~x["has_pdf"], "not_object", pdf)]
-        for out, (above_, name) in _URLS.items():
-            place = _at(pdf if above_ else at, name)
+        for out, (inner, name) in _URLS.items():
+            place = _at(pdf if inner else at, name)
             wrong += [(x[out].isNull(), "text_missing", place), (~official_url(x[out], hosts), "url_refused", place)]
-        wrong += [(x[f"{out}_bad"], "number_invalid", _at(pdf, name)) for out, name in _NUMBERS.items()]
-        wrong += [(F.coalesce(~x["control_fine"], F.lit(False)), "control_not_text", _at(at, "control"))]
+        wrong += [(F.coalesce(x[out] < 0, F.lit(False)), "number_invalid", _at(pdf, name)) for out, name in _NUMBERS.items()]
+        wrong += [(~x["control_fine"], "control_not_text", _at(at, "control"))]
         wrong += [(x[out].isNull(), "text_missing", _at(at, name)) for out, name in (("official_id", "identificador"), ("title", "titulo"))]
-        made = _entry(**above, **{n: x[n] for n in ("official_id", "title", "control", *_URLS, *_NUMBERS)})
-        return F.coalesce(_first(*wrong), made)
+        known = above | {n: x[n] for n in ("official_id", "title", "control", *_URLS, *_NUMBERS)}
+        item = F.struct(*(known.get(n, F.lit(None)).cast(t).alias(n) for n, t in zip(_NAMES, _TYPES)))
+        return let(_first(*wrong), lambda w: F.struct(F.when(w.isNull(), item).alias("item"), w["code"].alias("code"), w["path"].alias("path")))
 
-    return F.transform(F.transform(nodes(tree, "item"), parts), read)
+    return F.transform(F.transform(nodes(node, "item"), parts), read)
 
 
 def summary_rows(df: DataFrame, json: str, hosts: tuple[str, ...], publication: str) -> DataFrame:
@@ -129,49 +141,54 @@ def summary_rows(df: DataFrame, json: str, hosts: tuple[str, ...], publication:
     status, publication, date, node_missing, text_missing, url_refused, number_invalid, control_not_text. Columns of ``df``
     that have a name of the result are left out.
     """
-    taken = {*_NAMES, "published_on", "position"}
+    taken = {*_NAMES, "published_on", "position", "code", "path"}
     kept = [c for c in df.columns if c != json and c not in taken]
-    tree = F.col("tree")
-    parsed = df.select(F.struct(*kept).alias("row") if kept else F.struct(F.lit(1)).alias("row"), F.col(json).alias("said"), F.try_parse_json(json).alias("tree"))
-    status, data = field(tree, "status"), field(tree, "data")
-    summary = field(data, "sumario")
-    meta = field(summary, "metadatos")
+    parsed = df.select(F.struct(*kept).alias("row") if kept else F.struct(F.lit(1)).alias("row"), F.col(json).alias("said"))
     root = F.lit("data.sumario")
-    day = text(meta, "fecha_publicacion")
-    when = F.when(day.rlike("^[0-9]{8}$"), F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)).try_cast("date"))
 
     def heading(above: dict[str, Column]) -> Callable[[Column, Column], Column]:
-        return lambda x, path: _checked(_first(*_missing(x, path, "nombre")), _items(x, path, above | {"heading": text(x, "nombre")}, hosts))
+        return lambda x, path: _checked(_missing(x, path, "nombre"), _items(x, path, above | {"heading": text(x, "nombre")}, hosts))
 
     def department(above: dict[str, Column]) -> Callable[[Column, Column], Column]:
         def read(x: Column, path: Column) -> Column:
             own = above | {"department": text(x, "codigo"), "department_name": text(x, "nombre")}
-            found = F.concat(_items(x, path, own, hosts), _each(x, path, "epigrafe", heading(own)))
-            return _checked(_first(*_missing(x, path, "codigo", "nombre")), found)
+            return _checked(_missing(x, path, "codigo", "nombre"), F.concat(_items(x, path, own, hosts), _each(x, path, "epigrafe", heading(own))))
 
         return read
 
     def section(above: dict[str, Column]) -> Callable[[Column, Column], Column]:
         def read(x: Column, path: Column) -> Column:
             own = above | {"section": text(x, "codigo"), "section_name": text(x, "nombre")}
-            return _checked(_first(*_missing(x, path, "codigo", "nombre"), _none(x, path, "departamento")), _each(x, path, "departamento", department(own)))
+            return _checked(_missing(x, path, "codigo", "nombre"), _each(x, path, "departamento", department(own), True))
 
         return read
 
     def diary(x: Column, path: Column) -> Column:
-        return _checked(_first(*_missing(x, path, "numero"), _none(x, path, "seccion")), _each(x, path, "seccion", section({"number": text(x, "numero")})))
-
-    whole = _first(
-        (F.col("said").isNull(), "absent", F.lit("")), (tree.isNull(), "json", F.lit("")), (~is_object(tree), "not_object", F.lit("")), (~is_object(status), "not_object", F.lit("status")),
-        (text(status, "code") != "200", "status", F.lit("status.code")), (~is_object(data), "not_object", F.lit("data")), (~is_object(summary), "not_object", root),
-        (~is_object(meta), "not_object", _at(root, "metadatos")), (text(meta, "publicacion") != publication, "publication", F.lit("data.sumario.metadatos.publicacion")),
-        (when.isNull(), "date", F.lit("data.sumario.metadatos.fecha_publicacion")), _none(summary, root, "diario"),
-    )
-    read = parsed.select("row", when.alias("published_on"), _checked(whole, _each(summary, root, "diario", diary)).alias("entries"))
-    bad = F.get(F.filter("entries", lambda e: e["code"].isNotNull()), F.lit(0))
-    read = read.withColumn("bad", bad).select("row", "published_on", F.posexplode(F.when(F.col("bad").isNotNull(), F.array("bad")).otherwise(F.col("entries"))).alias("position", "e"))
+        return _checked(_missing(x, path, "numero"), _each(x, path, "seccion", section({"number": text(x, "numero")}), True))
+
+    def whole(parts: Column) -> Column:
+        tree, status, data, summary, meta = (parts[c] for c in ("tree", "status", "data", "summary", "meta"))
+        wrong = [
+            (F.col("said").isNull(), "absent", F.lit("")), (~parts["parsed"], "json", F.lit("")), (tree.isNull(), "not_object", F.lit("")), (status.isNull(), "not_object", F.lit("status")),
+            (text(status, "code") != "200", "status", F.lit("status.code")), (data.isNull(), "not_object", F.lit("data")), (summary.isNull(), "not_object", root), (meta.isNull(), "not_object", _at(root, "metadatos")),
+            (text(meta, "publicacion") != publication, "publication", F.lit("data.sumario.metadatos.publicacion")), (parts["day"].isNull(), "date", F.lit("data.sumario.metadatos.fecha_publicacion")),
+        ]
+        entries = _checked(wrong, _each(summary, root, "diario", diary, True))
+        bad = lambda e: F.get(F.filter(e, lambda x: x["code"].isNotNull()), F.lit(0))
+        return let(entries, lambda e: let(bad(e), lambda b: F.struct(parts["day"].alias("day"), F.when(b.isNotNull(), F.array(b)).otherwise(e).alias("entries"))))
+
+    def taken_apart(tree: Column) -> Column:
+        top = opened(tree)
+        day = lambda meta: text(meta, "fecha_publicacion")
+        date = lambda d: F.when(d.rlike("^[0-9]{8}$"), F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2), F.substring(d, 7, 2)).try_cast("date"))
+        return let(top, lambda t: let(opened(t["data"]), lambda data: let(opened(data["sumario"]), lambda summary: let(opened(summary["metadatos"]), lambda meta: F.struct(
+            tree.isNotNull().alias("parsed"), t.alias("tree"), opened(t["status"]).alias("status"), data.alias("data"), summary.alias("summary"), meta.alias("meta"), date(day(meta)).alias("day"),
+        )))))
+
+    read = parsed.select("row", let(let(F.try_parse_json("said"), taken_apart), whole).alias("r"))
+    read = read.select("row", F.col("r.day").alias("published_on"), F.posexplode("r.entries").alias("position", "e"))
     position = F.when(F.col("e.code").isNull(), F.col("position"))
-    return read.select(*(F.col("row")[c].alias(c) for c in kept), "published_on", position.alias("position"), "e.*")
+    return read.select(*(F.col("row")[c].alias(c) for c in kept), "published_on", position.alias("position"), "e.item.*", F.col("e.code").alias("code"), F.col("e.path").alias("path"))
 
 
 def rendered(parts: list[tuple[str, Column]]) -> Column:
