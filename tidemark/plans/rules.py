@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import canon
-from ..operators import gates, match, views
+from ..operators import contracts, gates, match, views
 from ..sources import summaries
 from .queries import query, table
 
@@ -116,3 +116,35 @@ def summary_trees(spark, d):
     whole = days.select("day", summaries.rendered([("status", status), ("data", summaries.rendered([("sumario", tree)]))]).alias("json"))
     found = summaries.summary_rows(whole, "json", ("gazette.example.org",), "GAZ")
     return found.select("day", "published_on", F.col("position").cast("long").alias("position"), "section", "department", "heading", "official_id", "size_bytes", "size_kbytes", "code", "path")
+
+
+_EVENT = {
+    "type": "object", "additionalProperties": False, "required": ["id", "kind", "value", "at", "props"],
+    "properties": {
+        "id": {"type": "integer", "minimum": 0}, "kind": {"enum": ["view", "click", "purchase"]}, "value": {"type": "number", "maximum": 200}, "at": {"type": "string", "format": "date-time"},
+        "props": {"type": "object", "additionalProperties": False, "properties": {"k": {"type": "integer", "maximum": 7}}}, "tags": {"type": "array", "uniqueItems": True, "items": {"type": "string", "minLength": 5}},
+    },
+}
+
+
+@query("""WITH e AS (SELECT event_id, event_type AS t, value AS v, CAST(json_extract(props, '$.k') AS BIGINT) AS k, user_id FROM events),
+  x AS (SELECT event_id, 'kind' AS path, 'enum' AS rule FROM e WHERE t NOT IN ('view', 'click', 'purchase') UNION ALL
+        SELECT event_id, 'value', CASE WHEN t = 'error' THEN 'type' ELSE 'maximum' END FROM e WHERE t = 'error' OR v > 200 UNION ALL
+        SELECT event_id, 'at', CASE WHEN t = 'purchase' THEN 'required' ELSE 'format' END FROM e WHERE t IN ('purchase', 'view') UNION ALL
+        SELECT event_id, t, 'undeclared' FROM e WHERE t = 'signup' UNION ALL
+        SELECT event_id, 'props.k', 'maximum' FROM e WHERE k > 7 UNION ALL SELECT event_id, 'props.user', 'undeclared' FROM e WHERE t = 'click' UNION ALL
+        SELECT event_id, 'tags', 'uniqueItems' FROM e WHERE t = 'k' || k UNION ALL SELECT event_id, 'tags[' || i || ']', 'minLength' FROM e, (VALUES (0), (1)) y(i) WHERE length(CASE i WHEN 0 THEN t ELSE user_id::VARCHAR END) < 5)
+  SELECT e.event_id, (SELECT count(*) FROM x WHERE x.event_id = e.event_id) AS n, coalesce((SELECT string_agg(path || ':' || rule, ' ' ORDER BY path, rule) FROM x WHERE x.event_id = e.event_id), '') AS broken FROM e""")
+def contract_violations(spark, d):
+    """Events as payloads of a closed contract: kinds and values beyond it, members that are missing or undeclared, at any depth."""
+    text = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
+    at = F.when(kind == "purchase", None).when(kind == "view", text(F.date_format("ts", "dd.MM.yyyy"))).otherwise(text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    props = summaries.rendered([("k", k), ("user", F.when(kind == "click", F.col("user_id").cast("string")))])
+    whole = summaries.rendered([
+        ("id", F.col("event_id").cast("string")), ("kind", text(kind)), ("value", F.when(kind == "error", text(F.col("value"))).otherwise(F.col("value").cast("string"))), ("at", at),
+        ("signup", F.when(kind == "signup", F.lit("true"))), ("props", props), ("tags", F.concat(F.lit("["), text(kind), F.lit(","), text(F.col("user_id")), F.lit("]"))),
+    ])
+    found = contracts.contract_violations(table(spark, d, "events").select("event_id", whole.alias("payload")), "payload", _EVENT)
+    told = F.transform(F.array_sort("violations"), lambda x: F.concat_ws(":", x["path"], x["rule"]))
+    return found.select("event_id", F.size("violations").cast("long").alias("n"), F.array_join(told, " ").alias("broken"))
