@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import canon
 from ..operators import contracts, gates, match, views
-from ..sources import summaries
+from ..operators.staging import staged
+from ..sources import feeds, summaries
 from .queries import query, table
 
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -148,3 +149,35 @@ def contract_violations(spark, d):
     found = contracts.contract_violations(table(spark, d, "events").select("event_id", whole.alias("payload")), "payload", _EVENT)
     told = F.transform(F.array_sort("violations"), lambda x: F.concat_ws(":", x["path"], x["rule"]))
     return found.select("event_id", F.size("violations").cast("long").alias("n"), F.array_join(told, " ").alias("broken"))
+
+
+@query("""WITH e AS (SELECT event_id, event_id // 25 AS page, user_id, event_type AS t, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS v FROM events),
+  bad AS (SELECT page FROM e GROUP BY 1 HAVING max(v) > 330)
+  SELECT page, event_id::VARCHAR AS entry, CASE k WHEN 0 THEN 'absent' WHEN 1 THEN 'blank' WHEN 2 THEN 'multiple' ELSE 'present' END AS title_state,
+    CASE WHEN k <> 3 THEN 'F/' || user_id END AS folder_id, array_to_string(list_sort(list_distinct([CASE k WHEN 5 THEN 'abc' ELSE lpad(user_id::VARCHAR, 8, '0') END, CASE WHEN t = 'view' THEN '99999999' END])), ' ') AS cpv,
+    CASE k WHEN 3 THEN 'structured_fields_inconsistent' WHEN 4 THEN 'identity_missing' WHEN 5 THEN 'invalid_cpv_code' WHEN 6 THEN 'invalid_administrative_date' ELSE '' END AS codes
+  FROM e WHERE page NOT IN (SELECT page FROM bad) UNION ALL SELECT page, NULL, NULL, NULL, NULL, 'limits_exceeded' FROM bad""")
+def feed_entries(spark, d):
+    """Events written as feed pages of 25 entries and read back: contradictions are codes, pages with too long a text are refused."""
+    k, said = F.get_json_object("props", "$.k").cast("int"), lambda tag, c: F.concat(F.lit(f"<{tag}>"), c.cast("string"), F.lit(f"</{tag.split()[0]}>"))
+    title = F.when(k == 0, "").when(k == 1, "<title> </title>").when(k == 2, "<title>a</title><title>b</title>").otherwise(said("title", F.repeat(F.lit("x"), F.ceil("value").cast("int"))))
+    long = F.when(k <= 2, said("summary", F.repeat(F.lit("y"), F.ceil("value").cast("int")))).otherwise("")
+    folder = F.concat(said("b:ContractFolderID", F.concat(F.lit("F/"), "user_id")), F.when(k == 3, "<b:ContractFolderID>F/x</b:ContractFolderID>").otherwise(""))
+    party = F.when(k == 4, "").otherwise(F.concat(F.lit("<e:LocatedContractingParty><a:Party><a:PartyIdentification>"), said('b:ID schemeName="DIR3"', F.col("user_id")), F.lit("</a:PartyIdentification></a:Party></e:LocatedContractingParty>")))
+    cpv = F.concat(said("b:ItemClassificationCode", F.when(k == 5, "abc").otherwise(F.lpad(F.col("user_id").cast("string"), 8, "0"))), F.when(F.col("event_type") == "view", "<b:ItemClassificationCode>99999999</b:ItemClassificationCode>").otherwise(""))
+    end = F.when(k == 6, "2024-02-30").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    status = [
+        folder, party, F.lit("<a:ProcurementProject><a:RequiredCommodityClassification>"), cpv, F.lit("</a:RequiredCommodityClassification></a:ProcurementProject>"),
+        F.lit("<a:TenderingProcess><a:TenderSubmissionDeadlinePeriod>"), said("b:EndDate", end), F.lit("</a:TenderSubmissionDeadlinePeriod></a:TenderingProcess>"),
+    ]
+    entry = F.concat(F.lit("<entry>"), said("id", F.col("event_id")), said("updated", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+02:00'")), title, long, F.lit("<e:ContractFolderStatus>"), *status, F.lit("</e:ContractFolderStatus></entry>"))
+    names = {"a": "urn:dgpe:names:draft:codice:schema:xsd:CommonAggregateComponents-2", "b": "urn:dgpe:names:draft:codice:schema:xsd:CommonBasicComponents-2", "e": "urn:dgpe:names:draft:codice-place-ext:schema:xsd:CommonAggregateComponents-2"}
+    head = '<feed xmlns="http://www.w3.org/2005/Atom" ' + " ".join(f'xmlns:{p}="{u}"' for p, u in names.items()) + ">"
+    page = F.floor(F.col("event_id") / 25)
+    pages = table(spark, d, "events").select(page.alias("page"), "event_id", entry.alias("x")).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", "x"))).alias("all"))
+    pages = pages.select("page", F.concat(F.lit(head), F.array_join(F.transform("all", lambda r: r["x"]), ""), F.lit("</feed>")).alias("xml"))
+    rows = staged(feeds.feed_rows(pages, "page", "xml", feeds.Limits(text=330)), "pages")
+    good = feeds.entries(rows).select("page", F.col("atom_id").alias("entry"), "title_state", "folder_id", F.array_join("cpv_codes", " ").alias("cpv"), F.array_join("codes", ",").alias("codes"))
+    none = F.lit(None).cast("string")
+    refused = rows.where("kind = 'refused'").select("page", none.alias("entry"), none.alias("title_state"), none.alias("folder_id"), none.alias("cpv"), F.col("code").alias("codes"))
+    return good.unionByName(refused)
