@@ -217,6 +217,24 @@ def test_words_in_several_blocks_mark_the_same(spark, monkeypatch):
     assert rows(privacy.find(docs, words=listed)) == one and any(s["kind"] == "term" for r in one for s in r[2])
 
 
+def test_planted_disclosures_are_found_and_labels_stay(spark):
+    """Names that give away addresses and phones are terms; the word before keys only says what stands there."""
+    rng = random.Random(29)
+    other = lambda: "".join(rng.choice("bcdfghklmnprst") for _ in range(8))
+    key = lambda: "".join(rng.choice("abcdefghij0123456789KLMNOP") for _ in range(36))
+    people = {"keller": "m.keller@home.example", "okafor": "+44 20 7946 0958", "lindqvist": "lind@post.example"}
+    docs = []
+    for name, value in people.items():
+        docs += [(len(docs) + k, f"{other()} {name.title()} {value} {other()} mail") for k in range(6)] + [(len(docs) + 90 + k, f"{other()} {name} {other()}") for k in range(2)]
+    docs += [(1000 + k, f"{other()} token {key()} {other()}") for k in range(12)] + [(2000 + k, f"{other()} mail {other()} {other()}") for k in range(300)]
+    df = spark.createDataFrame(docs, DOCS)
+    told = {r["word"]: r["label"] for r in privacy.disclosing_words(df).collect()}
+    assert told == {**dict.fromkeys(people, False), "token": True}  # all of them and nothing else
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(privacy.find(df)).collect()}
+    assert not any(n in clean[k].lower() for k, t in docs for n in people if n in t.lower())
+    assert all(" token " in clean[1000 + k] for k in range(12)) and sum("token [SECRET]" in clean[1000 + k] for k in range(12)) >= 9 and all(clean[k] == t for k, t in docs if k >= 2000)
+
+
 # language ------------------------------------------------------------------------------------------------------
 
 

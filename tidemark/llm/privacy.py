@@ -4,8 +4,9 @@ Addresses, numbers and phones are found by fixed patterns, secrets (keys, tokens
 letters and digits holds. Protected entities are single values, and each kind of them. Over the whole corpus, words
 near each entity are counted with it and without it. A word that makes the entity likely (its share of documents that
 also hold the entity near it) and far likelier than by chance (normalised pointwise mutual information) discloses it;
-such words are marked wherever they stand, then removed or put under a general name. Copies of one passage count as
-one piece of evidence.
+such words are marked wherever they stand, then removed or put under a general name. A word that gives away no value but
+only what kind of value stands beside it (the word before keys, say) is marked as a label and stays. Copies of one passage
+count as one piece of evidence.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .shared import sieve, sifted, staged, steps
 
-KINDS = ("email", "ip", "card", "phone", "secret", "term")
-SECRET, TERM = 4, 5
+KINDS = ("email", "ip", "card", "phone", "secret", "term", "label")
+SECRET, TERM, LABEL = 4, 5, 6
 #: Symbols of a secret at least, and its information: length times the entropy of its symbols, in bits.
 SECRET_SYMBOLS, SECRET_BITS = 20, 64.0
 #: Code points on each side of a protected value whose words count as near it.
@@ -167,10 +168,11 @@ def evidence(docs: DataFrame, text: str = "text", kinds: bool = False) -> DataFr
 
 
 def _blocks(words: DataFrame, most: int = BLOCK_WORDS) -> Iterator[dict]:
-    """The rows (word, share) by word, at most about ``most`` at once."""
+    """share and label by word, at most about ``most`` words at once; words are no labels unless it is said."""
+    words = words if "label" in words.columns else words.withColumn("label", F.lit(False))
     n = max(1, -(-words.count() // most))
     for b in range(n):
-        yield {r["word"]: r["share"] for r in words.where(F.pmod(F.xxhash64("word"), F.lit(n)) == b).collect()}
+        yield {r["word"]: (r["share"], r["label"]) for r in words.where(F.pmod(F.xxhash64("word"), F.lit(n)) == b).collect()}
 
 
 def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
@@ -216,11 +218,12 @@ def _document_counts(docs: DataFrame, words: DataFrame, text: str) -> DataFrame:
 
 
 def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """word and share: words that disclose some protected value, with the largest share of their documents."""
+    """word, share and label: words that disclose some protected entity, with the largest share of their documents, and
+    whether they disclose kinds of values only."""
     seen = staged(evidence(docs, text, kinds=True).where(F.col("word").isNull() | (F.col("passages") >= LEAST_PASSAGES)), "evidence")
     pairs = seen.where("word is not null")
     if pairs.isEmpty():
-        return docs.sparkSession.createDataFrame([], "word string, share double")
+        return docs.sparkSession.createDataFrame([], "word string, share double, label boolean")
     total = docs.count()
     words = pairs.select("word").distinct().withColumn("share", F.lit(0.0))
     counts = staged(_document_counts(docs, words, text), "counts")
@@ -229,20 +232,20 @@ def disclosing_words(docs: DataFrame, text: str = "text") -> DataFrame:
     share = F.col("joint") / F.greatest("n", "joint")
     joint = F.col("joint") / total
     information = F.log(share / (F.col("of_value") / total)) / F.greatest(-F.log(joint), F.lit(1e-9))
-    return staged(both.where((share >= LEAST_SHARE) & (information >= LEAST_INFORMATION)).groupBy("word").agg(F.max(share).alias("share")), "disclosing")
+    return staged(both.where((share >= LEAST_SHARE) & (information >= LEAST_INFORMATION)).groupBy("word").agg(F.max(share).alias("share"), F.min(F.col("value") < len(KINDS)).alias("label")), "disclosing")
 
 
-def _terms(x: str, spans: list[tuple[int, int, int]], disclosing: dict) -> list[tuple[int, int, float]]:
-    """(start, end, share) of the disclosing words of a text that touch no protected span."""
+def _terms(x: str, spans: list[tuple[int, int, int]], disclosing: dict) -> list[tuple[int, int, float, bool]]:
+    """(start, end, share, label) of the disclosing words of a text that touch no protected span."""
     small = x.lower()
     if len(small) != len(x):  # letters whose small form is longer: word by word
-        return [(m.start(), m.end(), disclosing[m[0].lower()]) for m in _TERM.finditer(x) if m[0].lower() in disclosing and not any(a < m.end() and m.start() < b for a, _, b in spans)]
+        return [(m.start(), m.end(), *disclosing[m[0].lower()]) for m in _TERM.finditer(x) if m[0].lower() in disclosing and not any(a < m.end() and m.start() < b for a, _, b in spans)]
     if disclosing.keys().isdisjoint(_TERM.findall(small)):
         return []
     covered = np.zeros(len(x) + 1, bool)
     for a, _, b in spans:
         covered[a:b] = True
-    return [(m.start(), m.end(), disclosing[m[0]]) for m in _TERM.finditer(small) if m[0] in disclosing and not covered[m.start() : m.end()].any()]
+    return [(m.start(), m.end(), *disclosing[m[0]]) for m in _TERM.finditer(small) if m[0] in disclosing and not covered[m.start() : m.end()].any()]
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
@@ -253,7 +256,7 @@ def _marked(batch: pa.RecordBatch, plain: list[str], text: str, terms) -> pa.Rec
     rows = []
     for k, x in enumerate(batch.column(text).to_pylist()):
         spans = protected_spans(x) if x else []
-        found = [(a, kind, b, None) for a, kind, b in spans] + [(a, TERM, b, share) for a, b, share in terms(k, x, spans)]
+        found = [(a, kind, b, None) for a, kind, b in spans] + [(a, LABEL if label else TERM, b, share) for a, b, share, label in terms(k, x, spans)]
         rows.append([{"kind": KINDS[kind], "start": a, "end": b, "share": share} for a, kind, b, share in sorted(found, key=lambda s: s[:3])])
     return pa.RecordBatch.from_arrays([batch.column(c) for c in plain] + [pa.array(rows, pa.list_(_SPAN))], names=[*plain, "spans"])
 
@@ -280,14 +283,14 @@ def find(docs: DataFrame, text: str = "text", words: DataFrame | None = None) ->
 
     at = "_row" + "_" * max(map(len, plain))  # longer than any name there
     kept = staged(rest.withColumn(at, F.monotonically_increasing_id()), "texts")
-    term, found = "array<struct<start: bigint, end: bigint, share: double>>", None
+    term, found = "array<struct<start: bigint, end: bigint, share: double, label: boolean>>", None
     for block in blocks:
 
         def meet(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             for batch in steps(batches, text):
-                rows = [(r, [{"start": a, "end": b, "share": s} for a, b, s in _terms(x, protected_spans(x), block.value)]) for r, x in zip(batch.column(at).to_pylist(), batch.column(text).to_pylist()) if x]
+                rows = [(r, [{"start": a, "end": b, "share": s, "label": e} for a, b, s, e in _terms(x, protected_spans(x), block.value)]) for r, x in zip(batch.column(at).to_pylist(), batch.column(text).to_pylist()) if x]
                 rows = [r for r in rows if r[1]]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.struct(list(_SPAN)[1:])))], names=[at, "terms"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.struct([*list(_SPAN)[1:], pa.field("label", pa.bool_())])))], names=[at, "terms"])
 
         own = kept.select(at, text).mapInArrow(meet, f"{at} bigint, terms {term}")
         found = own if found is None else found.unionByName(own)
@@ -297,13 +300,14 @@ def find(docs: DataFrame, text: str = "text", words: DataFrame | None = None) ->
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
             terms = batch.column("terms" + at).to_pylist()
-            yield _marked(batch, plain, text, lambda k, _x, _s: [(t["start"], t["end"], t["share"]) for t in terms[k] or ()])
+            yield _marked(batch, plain, text, lambda k, _x, _s: [(t["start"], t["end"], t["share"], t["label"]) for t in terms[k] or ()])
 
     return joined.mapInArrow(unite, schema)
 
 
 def sanitise(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``docs`` with every span of ``find`` replaced by its kind in brackets; strongly disclosing words are removed.
+    """``docs`` with every span of ``find`` replaced by its kind in brackets; strongly disclosing words are removed, labels
+    stay as they are.
 
     Overlapping spans are replaced together by the kind of the first. Texts without spans and nulls stay as they are.
     """
@@ -315,6 +319,8 @@ def sanitise(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataF
                 if x and found:
                     parts, at = [], 0
                     for s in found:
+                        if s["kind"] == "label":
+                            continue
                         if s["start"] >= at:
                             gone = s["kind"] == "term" and s["share"] >= REMOVE_SHARE
                             parts += [x[at : s["start"]], "" if gone else f"[{s['kind'].upper()}]"]
