@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import canon
 from ..operators import contracts, gates, match, views
 from ..operators.staging import staged
-from ..sources import feeds, summaries
+from ..sources import announcements, feeds, summaries
 from .queries import query, table
 
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -181,3 +181,26 @@ def feed_entries(spark, d):
     none = F.lit(None).cast("string")
     refused = rows.where("kind = 'refused'").select("page", none.alias("entry"), none.alias("title_state"), none.alias("folder_id"), none.alias("cpv"), F.col("code").alias("codes"))
     return good.unionByName(refused)
+
+
+@query("""WITH l AS (SELECT o_orderkey AS o, o_orderpriority AS p, l_returnflag AS f, l_linenumber AS n, l_partkey AS k, l_quantity AS q, l_tax AS t FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+  r AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY f, n, k, q) - 1 AS pos, row_number() OVER (PARTITION BY o, k ORDER BY f, n, k, q) AS nth FROM l),
+  b AS (SELECT *, CASE WHEN f = 'R' AND t < 0.005 THEN 'link_cardinality' WHEN q >= 50 THEN 'no_title_after_download' WHEN nth > 1 THEN 'duplicate_id' END AS code FROM r),
+  w AS (SELECT o, CASE WHEN min(q) >= 50 THEN 'empty' ELSE arg_min(code, pos) FILTER (code IS NOT NULL) END AS code, CASE WHEN min(q) < 50 THEN min(pos) FILTER (code IS NOT NULL) END AS pos FROM b GROUP BY o HAVING count(code) > 0)
+  SELECT o AS o_orderkey, pos AS position, k::VARCHAR AS id, 'Line ' || n || ' & ' || q::BIGINT AS title, p || ' > ' || f AS path, NULL AS code, NULL AS "at" FROM b WHERE o NOT IN (SELECT o FROM w)
+  UNION ALL SELECT o, NULL, NULL, NULL, NULL, code, pos FROM w""")
+def announcement_pages(spark, d):
+    """Orders as bulletin pages whose lines are downloads beside their titles; lines without a title or link, or with the
+    part of an earlier one, make a page that gives no announcement."""
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    said = F.when(F.col("l_quantity") >= 50, text("<b>none</b>")).otherwise(text("<br><script>x</script><span class='a title4'>Line ", F.col("l_linenumber").cast("string"), " &amp; <i>", F.col("l_quantity").cast("long").cast("string"), "</i></span>"))
+    link = F.when((F.col("l_returnflag") == "R") & (F.col("l_tax") < 0.005), "").otherwise(text("<a href='api/get?id=", F.col("l_partkey").cast("string"), "'>x</a>"))
+    line = text("<span class='download'>", link, "</span>", said)
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", F.struct("l_linenumber", "l_partkey", "l_quantity").alias("by"), line.alias("x"))
+    groups = lines.groupBy("l_orderkey", "l_returnflag").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("by", "x"))), lambda r: r["x"]), "").alias("x"))
+    groups = groups.select("l_orderkey", F.struct("l_returnflag", text("<div><p class='title2'> ", F.col("l_returnflag"), "</p>", F.col("x"), "</div>").alias("x")).alias("g"))
+    pages = groups.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("g")), lambda r: r["x"]), "").alias("x"))
+    whole = text("<html><h1 class='title1'>left out</h1><div id='announcements'><h3 class='accordion-header'>", F.col("o_orderpriority"), "</h3><div>", F.col("x"), "</div></div><a href='?id=9'>z</a></html>")
+    pages = table(spark, d, "orders").join(pages, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", whole.alias("html"))
+    found = announcements.announcement_rows(announcements.page_parts(pages, "o_orderkey", "html"), ("bulletin.example.org",), "https://bulletin.example.org/")
+    return found.select("o_orderkey", F.col("position").cast("long").alias("position"), "id", "title", F.when(F.col("code").isNull(), F.array_join("heading_path", " > ")).alias("path"), "code", F.col("at").cast("long").alias("at"))
