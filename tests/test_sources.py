@@ -4,7 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.sources import store, trees
+from tidemark.operators import audit
+from tidemark.operators.staging import staged
+from tidemark.sources import tables, trees
 from tidemark.streaming import incremental
 
 
@@ -40,20 +42,44 @@ def test_html_links(spark):
     assert rows(trees.html_links(df, "id", "h")) == [(1, 0, "one", "/1", ["Top", "Sub x"]), (1, 1, "two & half", "/2", ["Top", "Next"])]
 
 
-def test_store(spark, tmp_path):
-    table = store.VersionedTable(spark, f"file://{tmp_path}/t", "id string, v string, seen int")
+def test_keyed_table(spark, tmp_path):
+    table = tables.KeyedTable(f"file://{tmp_path}/t", "id string, v string, seen int", "id", parts=4)
     frame = lambda *r: spark.createDataFrame(list(r), "id string, v string, seen int")
-    assert table.version() == 0 and table.read().count() == 0
-    assert table.append(frame(("a", "1", 1)), "id", ("seen",)) == 1
-    assert table.append(frame(("a", "1", 2)), "id", ("seen",)) == 1  # the same but for when it was seen
-    with pytest.raises(store.Conflict):
-        table.append(frame(("a", "2", 2)), "id", ("seen",))
-    assert table.merge(frame(("a", "3", 3), ("b", "1", 3)), "id") == 2
-    gone = frame(("a", "", 0)).withColumn("gone", F.lit(True))
-    assert table.merge(gone, "id", "gone") == 3
-    assert rows(table.read()) == [("b", "1", 3)] and rows(table.read(1)) == [("a", "1", 1)]
-    with pytest.raises(store.Conflict):
-        table.commit(frame(("z", "1", 1)), 2)
+    table.create(spark)
+    table.create(spark)
+    assert table.read(spark).count() == 0 and table.get(spark, "a").count() == 0
+    assert rows(table.append(frame(("a", "1", 1), ("c", "1", 1)), ("seen",))) == []
+    assert rows(table.append(frame(("a", "1", 2), ("b", "1", 2), ("b", "1", 3)), ("seen",))) == []  # a is there, but for when it was seen
+    assert [r["v"] for r in table.read(spark).collect()] == ["1"] * 3
+    assert rows(table.append(frame(("a", "2", 2), ("d", "1", 2), ("d", "2", 2), (None, "x", 1)))) == [("a", "other_content"), ("d", "rows_differ"), (None, "key_missing")]
+    assert table.read(spark).count() == 3  # nothing of a batch that contradicts is written
+    assert rows(table.merge(frame(("a", "3", 3), ("e", "1", 3)))) == [] and rows(table.get(spark, "a")) == [("a", "3", 3)]
+    assert rows(table.merge(frame(("a", "4", 4), ("a", "5", 4), ("f", None, 4)), gates={"no_value": F.col("v").isNotNull()})) == [("a", "key_repeated"), ("f", "no_value")]
+    gone = lambda: table.read(spark).select("id", "v", "seen", F.lit(True).alias("gone"))
+    assert rows(table.problems(spark, F.col("v") != "1")) == [("b", "row_invalid"), ("c", "row_invalid"), ("e", "row_invalid")]
+    assert rows(table.merge(gone().where("id <> 'b'"), "gone")) == [] and [r["id"] for r in table.read(spark).collect()] == ["b"]
+    assert rows(table.merge(gone(), "gone")) == [] and table.read(spark).count() == 0
+    assert rows(table.append(frame(("a", "9", 9)))) == [] and rows(table.read(spark)) == [("a", "9", 9)]
+
+
+def test_second_phase_asks_again(spark, tmp_path):
+    table = tables.KeyedTable(f"file://{tmp_path}/t", "record_id string, content_hash string, plan string", "record_id", parts=2)
+    table.create(spark)
+    table.append(spark.createDataFrame([("a", "1", ""), ("b", "1", "")], "record_id string, content_hash string, plan string"))
+    candidates = spark.createDataFrame([("a", "2", "allow"), ("b", "1", "allow"), ("c", "1", "allow"), ("d", "1", "quarantine"), ("e", "1", "allow")], "record_id string, content_hash string, privacy string")
+    approved = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "record_id string")
+    plan = staged(audit.publication_plan(candidates, table.read(spark), approved), "plan")
+    before = rows(table.read(spark))
+    spoilt = {
+        "content_changed": (candidates.withColumn("content_hash", F.when(F.col("record_id") == "c", "9").otherwise(F.col("content_hash"))), approved),
+        "privacy_not_allowed": (candidates.withColumn("privacy", F.when(F.col("record_id") == "c", "reject").otherwise(F.col("privacy"))), approved),
+        "not_approved": (candidates, approved.where("record_id <> 'c'")), "candidate_not_unique": (candidates.union(candidates.where("record_id = 'c'")), approved),
+    }
+    for code, (now, listed) in spoilt.items():
+        assert rows(audit.publish(plan, now, listed, table)) == [("c", code)] and rows(table.read(spark)) == before
+    assert rows(audit.publish(plan, candidates, approved, table)) == []
+    assert rows(table.read(spark)) == [("a", "2", "update"), ("b", "1", ""), ("c", "1", "create")]
+    assert ("c", "table_changed") in rows(audit.publish(plan, candidates, approved, table))  # not twice
 
 
 def test_streams(spark, tmp_path):

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import KeyedTable
 from .change import broken_links
 
 VIOLATION = "kind string, key string, code string"
@@ -219,6 +220,24 @@ def publication_plan(candidates: DataFrame, known: DataFrame, approved: DataFram
     return rows.select(key, plan.alias("plan"), F.col("_known").alias("previous_hash"), "content_hash")
 
 
+def publish(plan: DataFrame, candidates: DataFrame, approved: DataFrame, table: KeyedTable) -> DataFrame:
+    """The second phase: writes the rows of plan create and update, and gives back what stops all of them as key and code.
+
+    Nothing of the plan is taken on trust: each row is asked again whether its candidate is there once and as planned,
+    whether privacy still allows it, whether it is approved, and whether the table still holds what the plan saw.
+    """
+    key = table.key
+    now = candidates.groupBy(key).agg(F.first("content_hash").alias("_now"), F.min(F.col("privacy") == "allow").alias("_allowed"), F.count("*").alias("_times"))
+    listed = approved.select(key).distinct().withColumn("_approved", F.lit(True))
+    have = table.read(plan.sparkSession).select(key, F.col("content_hash").alias("_have"))
+    rows = plan.where(F.col("plan").isin("create", "update")).join(now, key, "left").join(listed, key, "left").join(have, key, "left")
+    gates = {
+        "candidate_not_unique": F.col("_times") == 1, "content_changed": F.col("_now") == F.col("content_hash"), "privacy_not_allowed": F.col("_allowed"),
+        "not_approved": F.col("_approved"), "table_changed": F.col("_have").eqNullSafe(F.col("previous_hash")),
+    }
+    return table.merge(rows, gates=gates)
+
+
 def stable_reads(first: DataFrame, second: DataFrame, key: str, content: str) -> DataFrame:
     """``key`` and stable: whether two reads of one thing were the same; what only one read saw is not."""
     a, b = first.select(key, F.col(content).alias("_a")), second.select(key, F.col(content).alias("_b"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import canon
 from ..operators import audit, catalog, normalize, runs, search, views
 from ..operators.staging import shared_dir
-from ..sources import store, trees
+from ..sources import tables, trees
 from ..streaming import incremental
 from .queries import query, table
 
@@ -44,23 +44,48 @@ def latest_entries(spark, d):
   SELECT id, CASE WHEN m = 1 THEN 'changed' ELSE v END AS v, CASE WHEN m = 1 THEN 3 WHEN m = 2 THEN 2 ELSE 1 END AS seen FROM r WHERE m <> 3""")
 def store_versions(spark, d):
     """Appends (one of them of known rows), a merge that changes and deletes, and the table as it is then."""
-    kind = "id bigint, v string, seen int"
-    kept = store.VersionedTable(spark, f"{shared_dir(spark)}/tidemark/store-{uuid.uuid4().hex}", kind)
+    kept = tables.KeyedTable(f"{shared_dir(spark)}/tidemark/table-{uuid.uuid4().hex}", "id bigint, v string, seen int", "id")
+    kept.create(spark)
     rows = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("v"))
     m = F.col("id") % 5
-    kept.append(rows.where(m != 2).withColumn("seen", F.lit(1)), "id", ("seen",))
-    kept.append(rows.where(m != 1).withColumn("seen", F.lit(2)), "id", ("seen",))  # only keys that are new are written
+    kept.append(rows.where(m != 2).withColumn("seen", F.lit(1)), ("seen",))
+    kept.append(rows.where(m != 1).withColumn("seen", F.lit(2)), ("seen",))  # only keys that are new are written
     changed = rows.where(m.isin(1, 3)).select("id", F.lit("changed").alias("v"), F.lit(3).alias("seen"), (m == 3).alias("gone"))
-    kept.merge(changed, "id", "gone", F.col("v").isNotNull())
-    ordered, wrong = kept.scan(["seen", "id"], F.col("v").isNotNull(), "id")
-    return ordered.join(wrong.select(F.col("key").cast("bigint").alias("id")), "id", "left_anti").select("id", "v", "seen")
+    kept.merge(changed, "gone", {"value_missing": F.col("v").isNotNull()})
+    wrong = kept.problems(spark, F.col("v").isNotNull())
+    return kept.read(spark).join(wrong.select(F.col("key").cast("bigint").alias("id")), "id", "left_anti").select("id", "v", "seen")
 
 
 @query("SELECT c_custkey AS id, c_mktsegment AS v FROM customer WHERE c_custkey = 42")
 def store_lookup(spark, d):
-    kept = store.VersionedTable(spark, f"{shared_dir(spark)}/tidemark/store-{uuid.uuid4().hex}", "id bigint, v string")
-    kept.append(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("v")), "id")
-    return kept.get("id", 42)
+    kept = tables.KeyedTable(f"{shared_dir(spark)}/tidemark/table-{uuid.uuid4().hex}", "id bigint, v string", "id")
+    kept.create(spark)
+    kept.append(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("v")))
+    return kept.get(spark, 42)
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s, sha256(o_orderpriority) AS h, sha256(o_orderpriority || o_orderstatus) AS h2, o_totalprice AS p FROM orders),
+  c AS (SELECT k, CASE WHEN s = 'O' THEN h2 ELSE h END AS h, s <> 'P' AS fine, p > 100000 AS approved FROM o)
+  SELECT o.k AS record_id, CASE WHEN approved AND fine THEN c.h ELSE o.h END AS content_hash, CASE WHEN NOT approved OR NOT fine THEN 'kept' WHEN s = 'F' AND c.h = o.h THEN 'kept' WHEN s = 'F' OR s = 'O' AND k % 2 = 0 THEN 'update' ELSE 'create' END AS plan
+  FROM o JOIN c USING (k) WHERE (approved AND fine) OR s = 'F' OR k % 2 = 0""")
+def publication_write(spark, d):
+    """Both phases of a publication: a plan over all candidates, then only approved rows that every gate still lets through
+    are written; a batch with one spoilt row writes nothing."""
+    orders = table(spark, d, "orders")
+    price, status = F.col("o_totalprice"), F.col("o_orderstatus")
+    kept = tables.KeyedTable(f"{shared_dir(spark)}/tidemark/table-{uuid.uuid4().hex}", "record_id bigint, content_hash string, plan string", "record_id")
+    kept.create(spark)
+    old = orders.where((status == "F") | (F.col("o_orderkey") % 2 == 0)).select(F.col("o_orderkey").alias("record_id"), canon.sha256(F.col("o_orderpriority")).alias("content_hash"), F.lit("kept").alias("plan"))
+    kept.append(old)
+    content = F.when(status == "O", F.concat("o_orderpriority", "o_orderstatus")).otherwise(F.col("o_orderpriority"))
+    candidates = orders.select(F.col("o_orderkey").alias("record_id"), canon.sha256(content).alias("content_hash"), F.when(status == "P", "quarantine").otherwise("allow").alias("privacy"))
+    approved = orders.where(price > 100000).select(F.col("o_orderkey").alias("record_id"))
+    audit.publish(audit.publication_plan(candidates, kept.read(spark), approved), candidates, approved, kept)
+    spoilt = candidates.withColumn("privacy", F.when(F.col("record_id") % 1000 == 0, "quarantine").otherwise("allow"))  # privacy has changed since the plan
+    plan = audit.publication_plan(candidates.withColumn("privacy", F.lit("allow")).withColumn("content_hash", F.lit("x")), kept.read(spark), approved)
+    if audit.publish(plan, spoilt.withColumn("content_hash", F.lit("x")), approved, kept).isEmpty():
+        raise AssertionError("a spoilt batch was written")
+    return kept.read(spark)
 
 
 @query("""SELECT c_custkey, 'Customer%23' || substr(c_name, 10) || '%2Ex%2Fy%20z' AS safe, sha256(c_name || chr(31) || c_mktsegment) AS digest FROM customer""")
