@@ -173,6 +173,18 @@ def simulate(evaluated: DataFrame, group: list[Column], outcome: Column, reason:
     return evaluated.groupBy(*group, outcome.alias("outcome"), reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
+def simulation_totals(evaluated: DataFrame, section: Column, outcome: Column, reason: Column, measures: dict[str, Column]) -> DataFrame:
+    """All totals of a simulation in one pass: total (rows, outcomes, sections or all), section, outcome, reason, n and how
+    many rows met each of ``measures``. Sections are trimmed capitals, "?" where there is none; no reason is "none"."""
+    name = F.upper(F.trim(section))
+    rows = evaluated.select(F.when(name == "", "?").otherwise(F.coalesce(name, F.lit("?"))).alias("section"), outcome.alias("outcome"), F.coalesce(reason, F.lit("none")).alias("reason"), *(c.alias(k) for k, c in measures.items()))
+    keys = [F.col(c) for c in ("section", "outcome", "reason")]
+    sets = [keys, [keys[1]], [keys[0]], []]
+    level = F.grouping_id(*keys)
+    total = F.when(level == 0, "rows").when(level == 5, "outcomes").when(level == 3, "sections").otherwise("all")
+    return rows.groupingSets(sets, *keys).agg(total.alias("total"), F.count("*").alias("n"), *(F.count_if(F.col(k)).alias(k) for k in measures))
+
+
 def queue_outcome(manual: Column, manual_reason: Column) -> Column:
     """What a queue entry would come to with the evidence that the queue holds."""
     told = lambda outcome, reason: F.struct(F.lit(outcome).alias("outcome"), (reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"))

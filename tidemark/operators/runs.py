@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 FAILING = 3
@@ -13,6 +15,26 @@ def counters(df: DataFrame, by: list[Column], conditions: dict[str, Column]) ->
     return df.groupBy(*by).agg(F.count("*").alias("seen"), *(F.count_if(c).alias(k) for k, c in conditions.items()))
 
 
+def counted_write(df: DataFrame, conditions: dict[str, Column], write: Callable[[DataFrame], object] | None = None) -> dict[str, int]:
+    """Writes ``df`` and tells how many rows met each condition, counted by the pass that writes; ``seen`` is all of them.
+
+    Without ``write`` it is a dry run: the same plan to a sink that keeps nothing. Counters of several batches are added
+    up by ``added``.
+    """
+    told = Observation()
+    watched = df.observe(told, F.count(F.lit(1)).alias("seen"), *(F.count_if(c).alias(k) for k, c in conditions.items()))
+    if write is None:
+        watched.write.format("noop").mode("overwrite").save()
+    else:
+        write(watched)
+    return dict(told.get)
+
+
+def added(*batches: dict[str, int]) -> dict[str, int]:
+    """The counters of all batches together; one that a batch doesn't have counts as 0 there."""
+    return {k: sum(b.get(k, 0) for b in batches) for k in dict.fromkeys(k for b in batches for k in b)}
+
+
 def broken_invariants(df: DataFrame, checks: dict[str, str]) -> Column:
     """Names of the checks (SQL conditions) a row of counters fails."""
     return F.array_compact(F.array(*(F.when(~F.coalesce(F.expr(c), F.lit(False)), F.lit(k)) for k, c in checks.items())))

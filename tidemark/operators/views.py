@@ -30,6 +30,17 @@ def facets(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(F.explode(cells).alias("x")).groupBy("x.facet", "x.bucket").agg(F.count("*").alias("n"))
 
 
+def facet_order(counted: DataFrame, locale: str = "es") -> DataFrame:
+    """Facets with their place: buckets as the locale sorts them, "none" last."""
+    order = Window.partitionBy("facet").orderBy(F.col("bucket") == "none", F.collate("bucket", locale), "bucket")
+    return counted.withColumn("place", F.row_number().over(order))
+
+
+def group_order(groups: DataFrame, of: str = "n", locale: str = "es") -> list[Column]:
+    """The order of groups: the largest first, then names as the locale sorts them."""
+    return [F.desc(of), F.collate("name", locale), F.asc("name")]
+
+
 def grouped(df: DataFrame, name: Column, of: str = "n") -> DataFrame:
     """name, count and share of the largest group in hundredths, blank names left out."""
     groups = df.select(name.alias("name")).where(F.trim("name") != "").groupBy("name").agg(F.count("*").alias(of))

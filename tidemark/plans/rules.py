@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import canon
-from ..operators import contracts, gates, match, views
+from ..operators import contracts, gates, match, policy, runs, views
 from ..operators.staging import staged
 from ..sources import announcements, feeds, summaries
 from .queries import query, table
@@ -204,3 +204,41 @@ def announcement_pages(spark, d):
     pages = table(spark, d, "orders").join(pages, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", whole.alias("html"))
     found = announcements.announcement_rows(announcements.page_parts(pages, "o_orderkey", "html"), ("bulletin.example.org",), "https://bulletin.example.org/")
     return found.select("o_orderkey", F.col("position").cast("long").alias("position"), "id", "title", F.when(F.col("code").isNull(), F.array_join("heading_path", " > ")).alias("path"), "code", F.col("at").cast("long").alias("at"))
+
+
+@query("""WITH o AS (SELECT o_orderpriority AS p, o_orderstatus AS s, o_totalprice AS t, split_part(o_orderpriority, '-', 1) AS d FROM orders),
+  r AS (SELECT CASE d WHEN '5' THEN '?' ELSE upper(trim(split_part(p, '-', 2))) END AS section, CASE s WHEN 'F' THEN 'candidate' WHEN 'O' THEN 'hold' ELSE 'deny' END AS outcome, CASE s WHEN 'O' THEN 'none' ELSE d END AS reason, t FROM o)
+  SELECT CASE grouping(section, outcome, reason) WHEN 0 THEN 'rows' WHEN 5 THEN 'outcomes' WHEN 3 THEN 'sections' ELSE 'all' END AS total, section, outcome, reason, count(*) AS n,
+    count(*) FILTER (t > 200000) AS large, count(*) FILTER (outcome = 'candidate' AND t > 100000) AS fit FROM r GROUP BY GROUPING SETS ((section, outcome, reason), (outcome), (section), ())""")
+def simulation_totals(spark, d):
+    """Totals of a simulated publication by row, outcome and section, with what privacy and length would stop, in one pass."""
+    first = F.split_part("o_orderpriority", F.lit("-"), F.lit(1))
+    section = F.when(first == "5", F.lit(" ")).otherwise(F.lower(F.split_part("o_orderpriority", F.lit("-"), F.lit(2))))
+    outcome = F.when(F.col("o_orderstatus") == "F", "candidate").when(F.col("o_orderstatus") == "O", "hold").otherwise("deny")
+    price = F.col("o_totalprice")
+    return policy.simulation_totals(table(spark, d, "orders"), section, outcome, F.when(F.col("o_orderstatus") != "O", first), {"large": price > 200000, "fit": (outcome == "candidate") & (price > 100000)})
+
+
+@query("""WITH w AS (SELECT doc_id, regexp_extract(text, '[\\p{L}]+') AS w, lang FROM documents), c AS (
+  SELECT 'word' AS facet, CASE WHEN coalesce(w, '') = '' THEN 'none' ELSE w END AS bucket, count(*) AS n FROM w GROUP BY ALL UNION ALL SELECT 'lang', coalesce(lang, 'none'), count(*) FROM w GROUP BY ALL)
+  SELECT facet, bucket, n, row_number() OVER (PARTITION BY facet ORDER BY bucket = 'none', bucket COLLATE es, bucket) AS place FROM c""")
+def facet_listing(spark, d):
+    """First words and languages of the documents as facets, in the order of Spanish, with none last."""
+    word = F.regexp_extract("text", r"[\p{L}]+", 0)
+    counted = views.facets(table(spark, d, "documents"), {"word": F.when(word != "", word), "lang": F.col("lang")})
+    return views.facet_order(counted)
+
+
+@query("""SELECT counter, n, '' AS broken FROM (SELECT count(*) AS seen, count(*) FILTER (l_returnflag <> 'N') AS included, count(*) FILTER (l_returnflag = 'N') AS excluded,
+  count(*) FILTER (l_returnflag <> 'N' AND l_discount < 0.05) AS privacy_allowed, count(*) FILTER (l_returnflag <> 'N' AND l_discount >= 0.05) AS privacy_held FROM lineitem) UNPIVOT (n FOR counter IN (seen, included, excluded, privacy_allowed, privacy_held))""")
+def run_counters(spark, d):
+    """Counters of a run by the pass that writes it, batch by batch, their sum, and a dry run of the same plan."""
+    lines = table(spark, d, "lineitem")
+    included, allowed = F.col("l_returnflag") != "N", F.col("l_discount") < 0.05
+    conditions = {"included": included, "excluded": ~included, "privacy_allowed": included & allowed, "privacy_held": included & ~allowed}
+    batches = [lines.where(F.col("l_linestatus") == s) for s in ("F", "O")]
+    written = runs.added(*(runs.counted_write(b, conditions, lambda df: staged(df, "lines")) for b in batches))
+    dry = runs.counted_write(lines, conditions)
+    checks = {k: runs.MANIFEST_CHECKS[k] for k in ("seen", "privacy")} | {"dry_run": " and ".join(f"{k} = {v}" for k, v in dry.items())}
+    one = spark.createDataFrame([tuple(written.values())], ", ".join(f"{k} bigint" for k in written)).withColumn("broken", F.array_join(runs.broken_invariants(None, checks), ","))
+    return one.unpivot(["broken"], list(written), "counter", "n").select("counter", "n", "broken")

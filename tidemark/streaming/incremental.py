@@ -27,19 +27,24 @@ def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame,
     query.awaitTermination()
 
 
-def append_once(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A sink that adds only keys that are not there, in a folder for each batch: a repeated batch replaces itself."""
+def append_once(path: str, key: str, parts: int = 16) -> Callable[[DataFrame, int], None]:
+    """A sink that adds only keys that are not there: a repeated batch replaces itself.
+
+    Rows lie in folders by stretch of hashed keys, then by batch, and a batch reads those of its own keys only.
+    """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        fresh = batch.dropDuplicates([key])
-        there = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        others = [p.toString() for p in there if p.getName().startswith("batch=") and p.getName() != f"batch={number}"]
-        if others:
-            fresh = fresh.join(spark.read.schema(batch.schema).parquet(*others).select(key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        place = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("key_part")
+        mine = batch.dropDuplicates([key]).select("*", place, F.lit(number).alias("batch")).persist()
+        try:
+            spark.createDataFrame([], mine.schema).write.mode("append").parquet(path)  # so that there is a folder to read
+            touched = [r[0] for r in mine.select("key_part").distinct().collect()]  # as many as there are parts at most
+            there = spark.read.schema(mine.schema).option("basePath", path).parquet(path).where(F.col("key_part").isin(touched) & (F.col("batch") != number))
+            fresh = mine.join(there.select(key), key, "left_anti").repartition("key_part")
+            fresh.write.partitionBy("key_part", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        finally:
+            mine.unpersist()
 
     return sink
 
