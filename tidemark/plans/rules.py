@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import canon
 from ..operators import contracts, gates, match, policy, runs, views
-from ..operators.staging import staged
+from ..operators.staging import shared_dir, staged
 from ..sources import announcements, feeds, summaries
+from ..streaming import incremental, review
 from .queries import query, table
 
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -242,3 +246,22 @@ def run_counters(spark, d):
     checks = {k: runs.MANIFEST_CHECKS[k] for k in ("seen", "privacy")} | {"dry_run": " and ".join(f"{k} = {v}" for k, v in dry.items())}
     one = spark.createDataFrame([tuple(written.values())], ", ".join(f"{k} bigint" for k in written)).withColumn("broken", F.array_join(runs.broken_invariants(None, checks), ","))
     return one.unpivot(["broken"], list(written), "counter", "n").select("counter", "n", "broken")
+
+
+@query("""WITH e AS (SELECT user_id::VARCHAR AS key, month(ts) % 3 AS run, CASE WHEN event_type = 'purchase' THEN NULL ELSE event_type END AS entry FROM events WHERE value > 150),
+  r AS (SELECT key, run, count(DISTINCT coalesce(entry, '-')) AS n, max(entry) AS entry FROM e GROUP BY 1, 2),
+  c AS (SELECT key, sum(CASE WHEN n > 1 THEN 1 ELSE 0 END)::BIGINT AS conflicts, max(run) FILTER (n = 1) AS last FROM r GROUP BY 1)
+  SELECT c.key, r.entry, conflicts FROM c LEFT JOIN r ON r.key = c.key AND r.run = c.last AND r.n = 1""")
+def review_queue_state(spark, d):
+    """Large events of three runs as observations of a review queue: what waits at the end, and how often a run contradicted itself."""
+    base = f"{shared_dir(spark)}/tidemark/queue-{uuid.uuid4().hex}"
+    found = table(spark, d, "events").where("value > 150").select("user_id", F.col("ts").cast("timestamp").alias("ts"), (F.month("ts") % 3).alias("run"), F.when(F.col("event_type") != "purchase", F.col("event_type")).alias("entry"))
+    kept = staged(found, "observations")
+    for run in range(3):  # each run reads what the one before has left as state
+        kept.where(F.col("run") == run).select("user_id", "entry", "ts").repartition(4).write.mode("append").parquet(f"{base}/in")
+        changes = review.queue_changes(incremental.read_stream(spark, f"{base}/in", "user_id bigint, entry string, ts timestamp", files=1000), "user_id", "entry", "ts", dt.timedelta(days=3650))
+        incremental.run_available(changes, f"{base}/checkpoint", lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{base}/out/batch_{n}"))
+    out = spark.read.schema(f"{review.CHANGE}, batch int").option("recursiveFileLookup", "true").parquet(f"{base}/out")
+    last = out.groupBy("key").agg(F.max_by("entry", "batch").alias("entry"), F.count_if(F.col("change") == "conflict").alias("conflicts"))
+    quiet = kept.select(F.col("user_id").cast("string").alias("key")).distinct().join(last, "key", "left")  # keys that a run left as they were
+    return quiet.select("key", "entry", F.coalesce("conflicts", F.lit(0)).alias("conflicts"))
