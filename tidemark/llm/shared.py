@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,21 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 KEPT: dict[str, Callable[[], None]] = {}
 
 
+@cache
+def _trim() -> Callable[[], object]:
+    """Gives memory that is free in this process back to the system, where the C library can."""
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return pa.default_memory_pool().release_unused
+
+    def both() -> None:
+        pa.default_memory_pool().release_unused()
+        trim(0)
+
+    return both
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
     """Slices of the batches, each of at most ``limit`` text bytes unless one row alone has more.
 
@@ -90,6 +107,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES,
     for owner, drop in KEPT.items():
         if owner != keep:
             drop()
+    _trim()()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -101,6 +119,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES,
             stop = max(start + 1, int(np.searchsorted(total, base + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    _trim()()
 
 
 def runs(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
