@@ -23,7 +23,7 @@ def test_pipeline(spark, sf_dir):
         assert docs.columns == before.columns and set(docs.dtypes) == set(before.dtypes)
         seen[name] = (before, docs)
     before, after = seen["near_duplicates"]
-    lead = jaccard.near_duplicates(before).where("doc_id = component_id").select("doc_id").distinct()
+    lead = jaccard.near_duplicates(before, words=corpus_pipeline.NEAR_WORDS, percent=corpus_pipeline.NEAR_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
     assert sorted(r[0] for r in lead.collect()) == sorted(r[0] for r in after.select("doc_id").distinct().collect())
     before, after = seen["privacy"]
     spans = {r["doc_id"]: r["spans"] for r in privacy.find(before).collect()}
