@@ -237,3 +237,8 @@ def test_company_letters(spark):
     told = dict(df.select("id", canon.tax_class(F.col("id"))).collect())
     assert not [i for i in ids if i[0] in "IKLMOTXYZ" and told[i] == "legal_entity_tax_identifier"]
     assert told["K1234567D"] == told["L1234567D"] == "ambiguous_tax_identifier" or told["K1234567D"] == "personal_identifier"
+
+
+def test_registry_names_are_folded(spark):
+    registry = spark.createDataFrame([("12001", "Vinaròs"), ("12002", " VINAROS "), ("12003", "Nules"), ("12003", "Nules")], "code string, name string")
+    assert rows(catalog.registry_violations(registry)) == [("12001", "name_ambiguous"), ("12003", "code_duplicated")]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.canon import sha256, url_part
+from ..functions.canon import fold, sha256, squeeze, url_part
+from .staging import staged
 
 #: Forms of codes and hosts, and what an entry's official type makes it.
 INE, DIR3 = r"^12\d{3}$", r"^L[0-9]{8}$"
@@ -38,7 +39,7 @@ def registry_violations(registry: DataFrame, code: str = "code", name: str = "na
     rows = registry.select(F.col(code).alias("code"), F.col(name).alias("name"))
     bad = rows.select("code", F.when(~F.coalesce(F.col("code").rlike(pattern), F.lit(False)), "code_invalid").when(F.coalesce(F.trim("name"), F.lit("")) == "", "name_missing").alias("violation")).where("violation is not null")
     twice = rows.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code", F.lit("code_duplicated").alias("violation"))
-    shared = rows.groupBy(F.lower(F.trim("name")).alias("folded")).agg(F.min("code").alias("code"), F.max("code").alias("other")).where("code <> other").select("code", F.lit("name_ambiguous").alias("violation"))
+    shared = rows.withColumn("folded", fold(squeeze(F.col("name")))).groupBy("folded").agg(F.min("code").alias("code"), F.max("code").alias("other")).where("code <> other").select("code", F.lit("name_ambiguous").alias("violation"))
     return bad.unionByName(twice).unionByName(shared)
 
 
@@ -52,7 +53,7 @@ def build_catalog(raw: DataFrame, registry: DataFrame, kinds: dict[str, str], in
     """
     issue = lambda df, name, blocking=True, i="ine", d="dir3": df.select((name if isinstance(name, Column) else F.lit(name)).alias("issue"), F.lit(blocking).alias("blocking"), (F.col(i) if i else F.lit(None).cast("string")).alias("ine"), (F.col(d) if d else F.lit(None).cast("string")).alias("dir3"))
     some = lambda c: F.when(F.trim(c) != "", F.col(c))
-    rows = raw.select(some("ine").alias("ine"), some("dir3").alias("dir3"), some("name").alias("name"), some("type").alias("type"), checked_link(F.col("web")).alias("web"), checked_link(F.col("office")).alias("office"))
+    rows = staged(raw.select(some("ine").alias("ine"), some("dir3").alias("dir3"), some("name").alias("name"), some("type").alias("type"), checked_link(F.col("web")).alias("web"), checked_link(F.col("office")).alias("office")), "catalog")  # read again for every kind of issue
     sound = F.col("dir3").isNotNull() & F.col("name").isNotNull() & F.col("type").isNotNull() & (F.col("ine").isNull() | F.col("ine").rlike(ine)) & F.coalesce(F.col("dir3").rlike(dir3), F.lit(False))
     parsed = rows.where(sound)
     twice_ine = parsed.where("ine is not null").groupBy("ine").agg(F.count("*").alias("n"), F.min("dir3").alias("a"), F.max("dir3").alias("b")).where("n > 1")
