@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import canon
+from ..functions import canon, web
 from ..operators import contracts, gates, match, policy, runs, views
 from ..operators.staging import shared_dir, staged
 from ..sources import announcements, feeds, summaries
@@ -265,3 +265,16 @@ def review_queue_state(spark, d):
     last = out.groupBy("key").agg(F.max_by("entry", "batch").alias("entry"), F.count_if(F.col("change") == "conflict").alias("conflicts"))
     quiet = kept.select(F.col("user_id").cast("string").alias("key")).distinct().join(last, "key", "left")  # keys that a run left as they were
     return quiet.select("key", "entry", F.coalesce("conflicts", F.lit(0)).alias("conflicts"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_acctbal < -500 THEN 'credentials' WHEN c_acctbal < 0 THEN 'address' WHEN c_acctbal > 9000 THEN 'scheme' WHEN c_nationkey % 2 = 1 THEN 'host' ELSE 'ok' END AS address,
+  CASE WHEN c_acctbal < -500 THEN 'credentials' WHEN c_acctbal > 9000 THEN 'scheme' WHEN c_acctbal > 8000 THEN 'endless' ELSE 'ok' END AS place FROM customer""")
+def web_addresses(spark, d):
+    """Customers' addresses: credentials (hidden by two encodings in places), numbers for hosts, odd labels, other schemes."""
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rich, text = F.col("c_acctbal"), lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    host = F.when((rich < 0) & (rich >= -500), text("10.0.0.", F.col("c_nationkey").cast("string"))).otherwise(text("año-", F.lower("c_mktsegment"), ".n", F.when(F.col("c_nationkey") % 2 == 1, "_x").otherwise(""), ".example"))
+    scheme = F.when(rich > 9000, "ftp").otherwise("https")
+    address = text(scheme, "://", F.when(rich < -500, "me:x@").otherwise(""), host, "/", F.col("c_custkey").cast("string"))
+    place = text(scheme, "://", F.when(rich < -500, "me%2540").otherwise(""), host, "/", F.when((rich > 8000) & (rich <= 9000), "%2525252525252541").otherwise(""))
+    return rows.select("c_custkey", web.web_verdict(address).alias("address"), web.locator_verdict(place).alias("place"))
