@@ -46,3 +46,28 @@ def test_check_digits(spark):
 def test_ids(spark):
     assert one(spark, ["rec:a:ñ"], canon.encoded_id) == ["r-" + "rec:a:ñ".encode().hex()]
     assert one(spark, ["r-" + "rec:a:ñ".encode().hex(), "x"], canon.decoded_id) == ["rec:a:ñ", None]
+
+
+def test_identifiers_of_one_small_file_are_dealt_over_all_cores(spark, sf_dir, capsys):
+    from tidemark.plans.queries import QUERIES
+
+    QUERIES["tax_controls"](spark, sf_dir).explain()
+    assert "hashpartitioning(s_suppkey" in capsys.readouterr().out
+
+
+def test_dealt_rows_a_task_do_not_grow(spark):
+    from tidemark.operators.staging import dealt
+
+    found = dealt(spark.range(10_000), 10_000, 100, "id")
+    assert found.rdd.getNumPartitions() == 100 and found.count() == 10_000
+    assert dealt(spark.range(10), 10, 100, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_classes_of_odd_identifiers(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import canon
+
+    said = {None: None, "": None, " 12.345.678-z ": "personal_identifier", "12345678A": "ambiguous_tax_identifier", "K1234567L": "personal_identifier", "A58818501": "legal_entity_tax_identifier", "a-58818502": "ambiguous_tax_identifier", "P1234567D": "legal_entity_tax_identifier", "I1234567D": None, "١2345678Z": None, "é": None}
+    df = spark.createDataFrame([(k,) for k in said], "id string")
+    assert {r["id"]: r["c"] for r in df.select("id", canon.tax_class(F.col("id")).alias("c")).collect()} == said

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -122,7 +123,7 @@ def mod97(text: Column) -> Column:
 
 def compact_id(text: Column) -> Column:
     """An identifier without the separators it may have, in capitals."""
-    return F.upper(F.regexp_replace(text, r"[ .\-]", ""))
+    return F.upper(F.translate(text, " .-", ""))
 
 
 def valid_iban(text: Column) -> Column:
@@ -136,17 +137,32 @@ def valid_iban(text: Column) -> Column:
 def valid_person_id(text: Column) -> Column:
     """Whether the text is a personal number with the right letter; X, Y, Z stand for 0, 1, 2 and K, L, M for none."""
     compact = compact_id(text)
-    digits = F.regexp_replace(F.translate(F.substring(compact, 1, 1), "XYZ", "012"), "[KLM]", "")
-    number = F.concat(digits, F.substring(compact, 2, 7))
-    return compact.rlike("^[0-9XYZKLM][0-9]{7}[A-Z]$") & (person_letter(number.try_cast("bigint")) == F.substring(compact, 9, 1))
+    return _person_shape(compact) & _person_fits(compact)
+
+
+def _person_shape(compact: Column) -> Column:
+    return compact.rlike("^[0-9XYZKLM][0-9]{7}[A-Z]$")
+
+
+def _person_fits(compact: Column) -> Column:
+    """Whether the letter of a compact personal number fits; only asked where the shape does."""
+    number = F.concat(F.translate(F.substring(compact, 1, 1), "XYZKLM", "012"), F.substring(compact, 2, 7))
+    return person_letter(number.try_cast("bigint")) == F.substring(compact, 9, 1)
 
 
 def tax_class(text: Column) -> Column:
     """personal_identifier, legal_entity_tax_identifier, ambiguous_tax_identifier or null, by form and check characters."""
-    compact = compact_id(F.trim(text))
-    shape = compact.rlike("^(?:[0-9]{8}[A-Z]|[XYZKLM][0-9]{7}[A-Z]|[" + COMPANY_FIRST + "][0-9]{7}[0-9A-J])$")
     sure = lambda c: F.coalesce(c, F.lit(False))
-    return F.when(sure(valid_person_id(compact)), "personal_identifier").when(sure(valid_company_id(compact)), "legal_entity_tax_identifier").when(shape, "ambiguous_tax_identifier")
+    told = lambda compact: (
+        F.when(_person_shape(compact), F.when(sure(_person_fits(compact)), "personal_identifier").otherwise("ambiguous_tax_identifier"))
+        .when(_company_shape(compact), F.when(_company_fits(compact), "legal_entity_tax_identifier").otherwise("ambiguous_tax_identifier"))
+    )
+    return _let(compact_id(F.trim(text)), told)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def unclassified_tax_shape(text: Column) -> Column:
@@ -157,14 +173,26 @@ def unclassified_tax_shape(text: Column) -> Column:
 def valid_company_id(text: Column) -> Column:
     """Whether the text is a company number whose check character fits its first letter."""
     compact = compact_id(text)
-    digit = lambda k: F.substring(compact, k, 1).try_cast("int")
-    doubled = lambda k: F.floor(digit(k) * 2 / 10) + digit(k) * 2 % 10
-    check = (10 - (doubled(2) + doubled(4) + doubled(6) + doubled(8) + digit(3) + digit(5) + digit(7)) % 10) % 10
+    return _company_shape(compact) & _company_fits(compact)
+
+
+def _company_shape(compact: Column) -> Column:
+    return compact.rlike(f"^[{COMPANY_FIRST}][0-9]{{7}}[0-9A-J]$")
+
+
+def _company_fits(compact: Column) -> Column:
+    """Whether the check character of a compact company number fits; only asked where the shape does."""
+    digit = lambda k: F.ascii(F.substring(compact, k, 1)) - 48
+    doubled = lambda k: digit(k) * 2 - F.when(digit(k) > 4, 9).otherwise(0)  # noqa: E731  the sum of the two digits
+    total = doubled(2) + doubled(4) + doubled(6) + doubled(8) + digit(3) + digit(5) + digit(7)
     first, last = F.substring(compact, 1, 1), F.substring(compact, 9, 1)
-    by_digit = last == check.cast("string")
-    by_letter = last == F.substring(F.lit(COMPANY_LETTERS), (check + 1).cast("int"), F.lit(1))
-    fits = F.when(first.isin(*"PQRSNW"), by_letter).when(first.isin(*"ABEH"), by_digit).otherwise(by_digit | by_letter)
-    return compact.rlike(f"^[{COMPANY_FIRST}][0-9]{{7}}[0-9A-J]$") & F.coalesce(fits, F.lit(False))
+
+    def fits(check: Column) -> Column:
+        by_digit = last == check.cast("string")
+        by_letter = last == F.substring(F.lit(COMPANY_LETTERS), check + 1, F.lit(1))
+        return F.when(first.isin(*"PQRSNW"), by_letter).when(first.isin(*"ABEH"), by_digit).otherwise(by_digit | by_letter)
+
+    return _let((10 - total % 10) % 10, fits)
 
 
 def encoded_id(text: Column) -> Column:

@@ -57,9 +57,10 @@ class PrivacyRules:
             }
         return out
 
-    def tax_predicates(self, text: Column) -> dict[str, Column]:
-        """The rules for a field that holds a tax identifier: its class decides; what has none is looked at as text."""
-        kind, plain = tax_class(text), self.predicates(text, contact=False)
+    def tax_predicates(self, text: Column, kind: Column | None = None) -> dict[str, Column]:
+        """The rules for a field that holds a tax identifier: its class decides; what has none is looked at as text.
+        ``kind`` is the class where a column has it already."""
+        kind, plain = tax_class(text) if kind is None else kind, self.predicates(text, contact=False)
         free = kind.isNull()
         return {
             "personal_identifier": (kind == "personal_identifier") | (free & plain["personal_identifier"]),
@@ -75,14 +76,18 @@ def privacy_decision(df: DataFrame, fields: dict[str, Column], rules: PrivacyRul
     asked for contacts and addresses. URLs among the fields should be given decoded (see url_surfaces). Null fields
     hold nothing.
     """
+    apart = "_" * max(map(len, df.columns), default=0)  # longer than any name there
+    kinds = {name: f"_{k}{apart}" for k, name in enumerate(fields) if name.endswith("tax_identifier")}
+
     def asked(name: str, c: Column) -> dict[str, Column]:
         if name.endswith("tax_identifier"):
-            return rules.tax_predicates(c)
+            return rules.tax_predicates(c, F.col(kinds[name]))
         return rules.predicates(c, contact=name in ("title", "description", "text") or name.startswith("source_data."))
 
     found = [F.when(F.coalesce(p, F.lit(False)), F.struct(F.lit(SEVERITY.index(rules.decisions[r])).alias("level"), F.lit(f"{r}:{name}").alias("reason"))) for name, c in fields.items() for r, p in asked(name, c).items() if rules.decisions.get(r, "allow") != "allow"]
     reasons = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<level: int, reason: string>>")
-    told = df.withColumn("privacy_reasons", reasons)  # once, for both columns
+    classed = df.withColumns({kind: tax_class(fields[name]) for name, kind in kinds.items()})  # once, for all rules
+    told = classed.withColumn("privacy_reasons", reasons).drop(*kinds.values())  # once, for both columns
     level = F.coalesce(F.array_max(F.transform("privacy_reasons", lambda x: x["level"])), F.lit(0))
     return told.withColumn("privacy", F.element_at(F.array(*map(F.lit, SEVERITY)), level + 1)).withColumn("privacy_reasons", F.array_sort(F.array_distinct(F.transform("privacy_reasons", lambda x: x["reason"]))))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -30,3 +31,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, rows: int, each: int, *keys: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by key into partitions of about ``each`` rows: what one task holds stays the
+    same as the table grows. All cores get some, also of a table that is one small file."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / each)), *keys)
