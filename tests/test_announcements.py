@@ -44,3 +44,24 @@ def test_pages_that_pair_badly(spark):
     df = spark.createDataFrame([(1, box(TITLE))], "page int, html string")
     counts = announcements.announcement_rows(announcements.page_parts(df, "page", "html"), HOSTS, BASE).first()["counts"]
     assert counts.asDict() == {"containers": 1, "titles": 1, "links": 0, "blocks": 0}
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    import random
+
+    layout, rng, plain = announcements.Layout(), random.Random(7), 0
+    parts = [
+        "<div>", "</div>", "<DIV id='announcements'>", "<span class='download'>", "</span>", "<span class=\"t title4\">", "<a href='x?id=1'>", "<a href='x?id=1&amp;v=2'>", "</a>", "<br>", "<br/>", "<i />", "<p class='title1'>", "</p >",
+        " A &amp; b", "&lt;p", "&copy", "x\n y", "<script>", "<script>a&amp;</script>", "</script>", "<!-- <b> -->", "<style>", "<a href=x?id=2>", "<b title='1 > 0'>", "a < b", "<", "<title>", "</b/>", "<é>", "&#65;", "<script/>",
+    ]
+    for _ in range(4000):
+        usual = rng.random() < 0.7
+        page = "".join(rng.choice(parts[:18] if usual else parts) for _ in range(rng.randrange(1, 25)))
+        page = box(page) if rng.random() < 0.5 else page
+        slow = announcements._Reader(layout)
+        slow.feed(page)
+        slow.close()
+        told = lambda r: (r.containers, r.titles, r.links, r.blocks)
+        assert told(announcements.read_page(page, layout)) == told(slow), page
+        plain += announcements._read_plain(announcements._Reader(layout), page)
+    assert plain > 1000

@@ -7,9 +7,13 @@ by expressions: one that pairs badly gives no announcement but one row of counts
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,6 +21,11 @@ from pyspark.sql import functions as F
 
 from .summaries import let, official_url
 
+#: A plain tag and the text behind it: all attributes quoted, without a reference in any.
+_PLAIN = re.compile(r"""<(/?)([A-Za-z][A-Za-z0-9]*)((?:[ \t\n\r\f]+[A-Za-z][A-Za-z0-9-]*=(?:'[^'<>&]*'|"[^"<>&]*"))*)[ \t\n\r\f]*(/?)>([^<]*)""")
+_ATTRIBUTE = re.compile(r"""([A-Za-z][A-Za-z0-9-]*)=(?:'([^']*)'|"([^"]*)")""")
+#: Elements whose text the parser reads by rules of its own; a plain script holds no tag.
+_RAW = frozenset("style title textarea xmp iframe noembed noframes noscript plaintext".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = "struct<links: array<string>, title: string, title_number: int, heading_path: array<string>>"
 
@@ -35,12 +44,20 @@ class Layout:
 class _Open:
     """An element that isn't closed yet."""
 
+    __slots__ = ("tag", "classes", "active", "text", "waiting", "block", "title", "titled")
+
     def __init__(self, tag: str, classes: frozenset[str], active: dict[int, str]) -> None:
         self.tag, self.classes, self.active = tag, classes, active
         self.text: list[str] = []
         self.waiting: int | None = None  # the block whose title the next child may be
         self.block: int | None = None
         self.title: int | None = None
+        self.titled: int | None = None  # the block whose title this is
+
+
+@lru_cache(1024)
+def _words(names: str) -> frozenset[str]:
+    return frozenset(names.split())
 
 
 class _Reader(HTMLParser):
@@ -48,12 +65,12 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.layout, self.stack = layout, [_Open("", frozenset(), {})]
         self.containers, self.inside, self.titles = 0, 0, 0
-        self.links = 0
+        self.links, self.parameter = 0, f"{layout.parameter}="
         self.blocks: list[dict] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         known, up = dict(attrs), self.stack[-1]
-        at = _Open(tag, frozenset((known.get("class") or "").split()), dict(up.active))
+        at = _Open(tag, _words(known.get("class") or ""), up.active)
         if known.get("id") == self.layout.container:
             self.containers += 1
             self.inside = self.inside or len(self.stack)
@@ -63,12 +80,12 @@ class _Reader(HTMLParser):
                 at.title = self.titles
                 self.titles += 1
                 if waiting is not None:
-                    self.blocks[waiting]["title_number"] = at.title
+                    self.blocks[waiting]["title_number"], at.titled = at.title, waiting
             if tag == "span" and self.layout.block in at.classes:
                 at.block = len(self.blocks)
                 path = [v for _, v in sorted(up.active.items())]
                 self.blocks.append({"links": [], "title": None, "title_number": None, "heading_path": path})
-            if tag == "a" and f"{self.layout.parameter}=" in (href := known.get("href") or ""):
+            if tag == "a" and self.parameter in (href := known.get("href") or ""):
                 self.links += 1
                 for b in self.stack:
                     if b.block is not None:
@@ -84,19 +101,18 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if not any(e.tag == tag for e in self.stack[1:]):
+        if self.stack[-1].tag != tag and not any(e.tag == tag for e in self.stack[1:]):
             return
         while len(self.stack) > 1:
             at = self.stack.pop()
-            up, said = self.stack[-1], " ".join("".join(at.text).split())
+            up = self.stack[-1]
             up.text += at.text if at.tag not in ("script", "style") else []
-            if at.title is not None:
-                for b in self.blocks:
-                    if b["title_number"] == at.title:
-                        b["title"] = said
+            level = min((n for c, n in self.layout.headings.items() if c in at.classes), default=None) if at.classes else None
+            said = " ".join("".join(at.text).split()) if level is not None or at.titled is not None else ""
+            if at.titled is not None:
+                self.blocks[at.titled]["title"] = said
             if at.block is not None:
                 up.waiting = at.block
-            level = min((n for c, n in self.layout.headings.items() if c in at.classes), default=None)
             if level is not None and said:
                 up.active = {k: v for k, v in up.active.items() if k < level} | {level: said}
             if self.inside == len(self.stack):
@@ -108,20 +124,57 @@ class _Reader(HTMLParser):
         self.stack[-1].text.append(data)
 
 
+def read_page(page: str, layout: Layout) -> _Reader:
+    """A page that was read to its end. Pages of plain tags alone are cut up by one pattern, which gives what the parser
+    would; any other page goes through the parser."""
+    reader = _Reader(layout)
+    if not _read_plain(reader, page):
+        reader = _Reader(layout)
+        reader.feed(page)
+        reader.close()
+    return reader
+
+
+def _read_plain(reader: _Reader, page: str) -> bool:
+    parts = _PLAIN.findall(page)
+    if len(parts) != page.count("<"):
+        return False
+    script = False
+    if before := page.partition("<")[0]:
+        reader.handle_data(unescape(before))
+    for ends, tag, attributes, alone, text in parts:
+        tag = tag.lower()
+        if tag in _RAW or (ends and (attributes or alone)) or (script and not (ends and tag == "script")):
+            return False
+        if ends:
+            script = False
+            reader.handle_endtag(tag)
+        else:
+            found = [(k.lower(), a or b) for k, a, b in _ATTRIBUTE.findall(attributes)] if attributes else []
+            script = tag == "script"
+            if script and alone:
+                return False
+            (reader.handle_startendtag if alone else reader.handle_starttag)(tag, found)
+        if text:
+            reader.handle_data(unescape(text) if "&" in text and not script else text)
+    return not script
+
+
 def page_parts(pages: DataFrame, key: str, html: str, layout: Layout = Layout()) -> DataFrame:
     """key, containers, titles, links and blocks of every page; null pages have none of them."""
-    block = pa.struct([("links", pa.list_(pa.string())), ("title", pa.string()), ("title_number", pa.int32()), ("heading_path", pa.list_(pa.string()))])
+    def lists(found: list[list], kind: pa.DataType) -> pa.Array:
+        ends = list(accumulate(map(len, found), initial=0))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([x for one in found for x in one], kind))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for page in batch.column(1).to_pylist():
-                reader = _Reader(layout)
-                reader.feed(page or "")
-                reader.close()
-                found.append((reader.containers, reader.titles, reader.links, reader.blocks))
-            numbers = [pa.array([f[k] for f in found], pa.int32()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array([f[3] for f in found], pa.list_(block))], names=["key", "containers", "titles", "links", "blocks"])
+            found = [read_page(page or "", layout) for page in batch.column(1).to_pylist()]
+            numbers = [pa.array([getattr(f, name) for f in found], pa.int32()) for name in ("containers", "titles", "links")]
+            each = [b for f in found for b in f.blocks]
+            fields = [lists([b["links"] for b in each], pa.string()), pa.array([b["title"] for b in each], pa.string()), pa.array([b["title_number"] for b in each], pa.int32()), lists([b["heading_path"] for b in each], pa.string())]
+            blocks = pa.StructArray.from_arrays(fields, ["links", "title", "title_number", "heading_path"])
+            ends = pa.array(list(accumulate((len(f.blocks) for f in found), initial=0)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.ListArray.from_arrays(ends, blocks)], names=["key", "containers", "titles", "links", "blocks"])
 
     kind = pages.schema[key].dataType.simpleString()
     found = pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInArrow(read, f"key {kind}, containers int, titles int, links int, blocks array<{BLOCK}>")
@@ -136,21 +189,20 @@ def announcement_rows(parts: DataFrame, hosts: tuple[str, ...], base: str, layou
     no_title_after_download, title_already_paired, url_invalid, id_missing, duplicate_id, title_empty, and at last
     unpaired_elements. ``base`` is what relative links are joined to.
     """
-    number = lambda url: F.regexp_extract(url, rf"[?&]{layout.parameter}=([^&#]*)", 1)
-    url = lambda b: let(F.get(b["links"], F.lit(0)), lambda u: F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), u).otherwise(F.concat(F.lit(base), F.regexp_replace(u, "^/+", ""))))
-    blocks = F.transform("blocks", lambda b: F.struct(
-        F.size(b["links"]).alias("n"), F.size(F.filter(F.split(F.regexp_extract(url(b), r"\?([^#]*)", 1), "&"), lambda p: p.startswith(f"{layout.parameter}="))).alias("ids"),
-        url(b).alias("url"), number(url(b)).alias("id"), b["title"].alias("title"), b["title_number"].alias("title_number"), b["heading_path"].alias("heading_path"),
-    ))
-    told = parts.withColumn("blocks", blocks)
+    number = lambda u: F.regexp_extract(u, rf"[?&]{layout.parameter}=([^&#]*)", 1)
+    joined = lambda u: F.when(u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), u).otherwise(F.concat(F.lit(base), F.regexp_replace(u, "^/+", "")))
+    block = lambda b, u: F.struct(
+        F.size(b["links"]).alias("n"), F.size(F.filter(F.split(F.regexp_extract(u, r"\?([^#]*)", 1), "&"), lambda p: p.startswith(f"{layout.parameter}="))).alias("ids"),
+        u.alias("url"), number(u).alias("id"), b["title"].alias("title"), b["title_number"].alias("title_number"), b["heading_path"].alias("heading_path"),
+    )
+    told = parts.withColumn("blocks", F.transform("blocks", lambda b: let(joined(F.get(b["links"], F.lit(0))), lambda u: block(b, u))))
 
     def wrong(b: Column, i: Column) -> Column:
-        before = F.slice("blocks", F.lit(1), i)
+        before = lambda name: F.array_position(F.col("blocks")[name], b[name]) <= i  # noqa: E731  the first that has it stands before
         return (
-            F.when(b["n"] != 1, "link_cardinality").when(b["title_number"].isNull(), "no_title_after_download")
-            .when(F.exists(before, lambda x: x["title_number"] == b["title_number"]), "title_already_paired")
+            F.when(b["n"] != 1, "link_cardinality").when(b["title_number"].isNull(), "no_title_after_download").when(before("title_number"), "title_already_paired")
             .when(~official_url(b["url"], hosts), "url_invalid").when((b["ids"] != 1) | ~b["id"].rlike("^[0-9]+$"), "id_missing")
-            .when(F.exists(before, lambda x: x["id"] == b["id"]), "duplicate_id").when(b["title"] == "", "title_empty")
+            .when(before("id"), "duplicate_id").when(b["title"] == "", "title_empty")
         )
 
     first = F.get(F.filter(F.transform("blocks", lambda b, i: F.struct(wrong(b, i).alias("code"), i.alias("at"))), lambda w: w["code"].isNotNull()), F.lit(0))
