@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import KeyedTable
 from .change import broken_links
+from .staging import dealt
 
 VIOLATION = "kind string, key string, code string"
+#: Rows of a table that one task joins or sorts; larger tables have more tasks, not larger ones.
+TASK_ROWS = 250_000
 
 
 def violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -167,6 +170,8 @@ def validate_migration(originals: DataFrame, prepared: DataFrame, evidence: Data
     originals and prepared have version, source, detected_at and content_hash; prepared also v1_hash (its hash under the
     old version); evidence has from_hash and to_hash. Codes: incomplete_batch, evidence_conflict, source_drift.
     """
+    n = originals.count()
+    originals, prepared, evidence = (dealt(df, n, TASK_ROWS, key) for df in (originals, prepared, evidence))
     once = [df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key) for df in (originals, prepared, evidence)]
     o = originals.select(key, F.struct("version", "source", "detected_at", "content_hash").alias("o"))
     p = prepared.select(key, F.struct("version", "source", "detected_at", "content_hash", "v1_hash").alias("p"))
