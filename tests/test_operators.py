@@ -242,3 +242,21 @@ def test_company_letters(spark):
 def test_registry_names_are_folded(spark):
     registry = spark.createDataFrame([("12001", "Vinaròs"), ("12002", " VINAROS "), ("12003", "Nules"), ("12003", "Nules")], "code string, name string")
     assert rows(catalog.registry_violations(registry)) == [("12001", "name_ambiguous"), ("12003", "code_duplicated")]
+
+
+def test_audits_of_larger_tables_have_more_tasks(spark, monkeypatch, capsys):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import audit
+
+    monkeypatch.setattr(audit, "TASK_ROWS", 10)
+    k = spark.range(300).select(F.col("id").alias("record_id"))
+    events = k.select("record_id", F.lit(1).alias("observed_at"), F.lit("create").alias("type"), F.lit(None).cast("string").alias("previous_hash"), F.lit("a").alias("content_hash"))
+    history = audit.validate_history(events, k.withColumn("content_hash", F.lit("a")))
+    one = k.select("record_id", F.lit(1).alias("version"), F.lit("s").alias("source"), F.lit("d").alias("detected_at"), F.lit("x").alias("content_hash"))
+    two = one.withColumns({"version": F.lit(2), "content_hash": F.lit("y"), "v1_hash": F.lit("x")})
+    migration = audit.validate_migration(one, two, k.select("record_id", F.lit("x").alias("from_hash"), F.lit("y").alias("to_hash")))
+    for found in (history, migration):
+        found.explain()
+        assert "hashpartitioning(record_id" in (plan := capsys.readouterr().out) and ", 30), REPARTITION_BY_NUM" in plan
+        assert found.count() == 0

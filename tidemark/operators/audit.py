@@ -123,7 +123,8 @@ def validate_history(events: DataFrame, records: DataFrame, key: str = "record_i
     start from any hash that the transitions seen so far lead to. Most histories are plain chains, told by a window;
     only records with a link that is not to the event before are walked one by one.
     """
-    rows = events.select(key, at, "type", "previous_hash", "content_hash")
+    rows, n = events.select(key, at, "type", "previous_hash", "content_hash"), events.count()
+    rows, records = dealt(rows, n, TASK_ROWS, key), dealt(records.select(key, "content_hash"), n, TASK_ROWS, key)
     orphan = rows.join(records.select(key).distinct(), key, "left_anti").select(key, F.lit("event_without_record").alias("code"))
     order = Window.partitionBy(key).orderBy(at)
     marked = rows.withColumns({"_first": F.row_number().over(order) == 1, "_same": F.lag(at).over(order) == F.col(at), "_before": F.lag("content_hash").over(order)})
@@ -154,7 +155,7 @@ def validate_history(events: DataFrame, records: DataFrame, key: str = "record_i
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], kind), pa.array([c for _, c in found], pa.string())], names=[key, "code"])
 
     kind = events.schema[key].dataType.simpleString()
-    sorted_ = rows.join(walk, key).repartition(key).sortWithinPartitions(key, at)
+    sorted_ = dealt(rows.join(walk, key), n, TASK_ROWS, key).sortWithinPartitions(key, at)
     walked = sorted_.mapInArrow(fold, f"`{key}` {kind}, code string")
     return orphan.distinct().unionByName(state.where("code is not null").select(key, "code")).unionByName(walked)
 
