@@ -311,3 +311,16 @@ def test_toxic_documents_go_and_others_stay(spark):
     assert kept == {k for k, s in score.items() if s < 0.5} and 0 < len(score) - len(kept)
 
 
+
+
+def test_a_fit_holds_two_tables_of_its_words_at_most():
+    import tracemalloc
+
+    rng = random.Random(1)
+    word = lambda: "@" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(rng.randrange(3, 11))) + "@"
+    good, bad = sorted({word() for _ in range(200)}), sorted({word() for _ in range(9000)})
+    tracemalloc.start()
+    toxicity.fit_words(good, bad)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * (toxicity.SYMBOLS**3 * 4 + 2.4 * 8 * (len(bad) + 3 * len(good)))

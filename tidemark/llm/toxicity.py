@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .language import fold_of, sampled
 from .letters import TABLE, code_points
-from .shared import staged, steps
+from .shared import give_back, staged, steps
 
 #: Labelled documents of each class that a model is fitted on, about; the only bound on what is read to fit.
 SAMPLE_DOCUMENTS = 2500
@@ -162,7 +162,7 @@ def feature(word: str) -> np.ndarray:
 def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 25, seed: int = 3) -> np.ndarray:
     """A linear machine with squared hinge loss by dual coordinate descent; the last input is constant."""
     w, alpha = np.zeros(x.shape[1]), np.zeros(len(y))
-    square = (x * x).sum(1) + 1 / (2 * cost)
+    square = np.concatenate([(x[k : k + 1024] ** 2).sum(1) for k in range(0, len(x), 1024)]) + 1 / (2 * cost)
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         most = 0.0
@@ -235,7 +235,11 @@ def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMAR
     value, vector = np.linalg.eigh((kernel[chosen] + kernel[chosen].T) / 2)
     kept = value > 1e-6 * value.max()
     whiten = vector[:, kept] / np.sqrt(value[kept])
-    z = np.hstack([kernel @ whiten, np.ones((len(words), 1))])
+    inputs = kernel @ whiten
+    del kernel  # of these tables, each of all words by all landmarks, the driver holds two at most
+    z = np.ones((len(words), inputs.shape[1] + 1))
+    z[:, :-1] = inputs
+    del inputs
     cost = np.where(y > 0, 4.0 * max(1.0, len(bad) / max(1, len(good))), 4.0)
     w = svm(z, y, cost)
     return Machine(marks.T @ (whiten @ w[:-1]).astype(np.float32), float(w[-1]))
@@ -393,6 +397,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         return quiet
     while True:
         machine = fit_words(positive, negative)
+        give_back()  # the driver's, whose kernels are gone
         now, told = spark.sparkContext.broadcast(machine), spark.sparkContext.broadcast(frozenset(negative))
 
         def beyond(batches: Iterator[pa.RecordBatch], now=now, told=told) -> Iterator[pa.RecordBatch]:
@@ -411,6 +416,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         good = [w for w in positive if own_half[w][k] > WORD_SHARE * (own_half[w][k] + own_half[w][k + 1])]
         bad = [w for w in negative if own_half[w][k + 1] > 0]
         halves.append(fit_words(good, bad) if good and bad else machine)
+        give_back()
     broadcast = spark.sparkContext.broadcast(halves)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
