@@ -195,6 +195,18 @@ def test_suffixes(spark, monkeypatch, match, places):
     assert suffixes.deduplicate(df.limit(0)).count() == 0
 
 
+def test_suffixes_takes_planted_passages_of_400_bytes_and_no_shorter_ones(spark):
+    rng = random.Random(8)
+    made = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passages = [made(n) for n in (51, 54, 57, 60, 66, 72, 80, 90, 100)] + [made(100)[:n] for n in (399, 400, 401)]
+    docs = [(2 * k + j, f"{made(30)} {j}{p}{j} {made(30)}") for k, p in enumerate(passages) for j in (0, 1)]
+    got = rows(suffixes.deduplicate(spark.createDataFrame(docs, DOCS)))
+    assert got == without_repeats(docs, 400)
+    removed = {r[0]: r[2] for r in got}
+    assert all(removed[2 * k + j] == (len(p) if len(p) >= 400 else 0) for k, p in enumerate(passages) for j in (0, 1))
+    assert {len(p) >= 400 for p in passages[:9]} == {False, True}
+
+
 def test_loser_tree():
     rng = random.Random(2)
     for _ in range(60):
